@@ -1,0 +1,5 @@
+"""Empty on purpose: every job of this package is a batch job.
+
+The workload has no stream source, watermark or state, so there is no streaming
+operator to offer.
+"""
