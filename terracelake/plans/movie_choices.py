@@ -56,14 +56,12 @@ def film_scores(ratings: DataFrame, matches: DataFrame, few: bool) -> DataFrame:
     Few matches are broadcast, so that other films' ratings end in the scan. Either way
     it is totals per film that are shuffled, not ratings.
     """
+    totals = [F.count(F.lit(1)).alias("rating_rows"), F.count("rating").alias("rated"),
+              F.sum("rating").alias("rating_sum")]
+    ratings = ratings.withColumnRenamed("movieid", "id")
     if few:
-        ratings = ratings.join(F.broadcast(matches.select(F.col("id").alias("movieid"))), "movieid")
-    totals = ratings.groupBy(bigint_or_null("movieid").alias("id")).agg(
-        F.count(F.lit(1)).alias("rating_rows"),
-        F.count("rating").alias("rated"),
-        F.sum("rating").alias("rating_sum"),
-    )
-    return matches.join(totals, "id")
+        return ratings.join(F.broadcast(matches), "id").groupBy("id", "copies").agg(*totals)
+    return matches.join(ratings.groupBy("id").agg(*totals), "id")
 
 
 def pick_totals(movies: DataFrame, scores: DataFrame, few: bool) -> DataFrame:

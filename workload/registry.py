@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +22,15 @@ def query(sql: str) -> Callable[[Query], Query]:
     return register
 
 
+@cache
+def table_schema(spark: SparkSession, path: str) -> StructType:
+    """As a catalog would, looks into the files of a table once, not on every read."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(table_schema(spark, path)).parquet(path)
 
 
 def rounded(value: str, digits: int) -> str:
