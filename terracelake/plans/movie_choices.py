@@ -27,8 +27,7 @@ def build(movies: DataFrame, ratings: DataFrame, keywords: DataFrame, cast: Data
     """
     matches = settle(matching_films(keywords, cast, params))
     few = few_rows(matches)
-    scores = film_scores(ratings, matches, few)
-    picks = pick_totals(movies, scores, few)
+    picks = pick_totals(movies, film_scores(ratings, matches, few), few)
     ranked = ntile(picks, params.buckets,
                    [F.col("avg_rating").desc(), F.col("title"), F.col("release_date"),
                     F.col("popularity")])
@@ -65,7 +64,10 @@ def film_scores(ratings: DataFrame, matches: DataFrame, few: bool) -> DataFrame:
 
 
 def pick_totals(movies: DataFrame, scores: DataFrame, few: bool) -> DataFrame:
-    """title, release_date, popularity, ratings_count, avg_rating: one row per pick."""
+    """title, release_date, popularity, ratings_count, avg_rating: one row per pick.
+
+    Scores are at most as many as matches.
+    """
     films = movies.select(bigint_or_null("id").alias("id"), "title", "release_date", "popularity")
     films = films.filter(F.col("id").isNotNull())
     if few:
