@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracelake.functions import bigint_or_null
+from terracelake.operators.unions import union_all
+from terracelake.session import settle
 
 # Rows of at most a few numbers each, so some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
-SALTS = 32
 
 
 def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -20,20 +21,16 @@ def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.count() <= limit
 
 
-def join_to_unique(many: DataFrame, one: DataFrame, key: str, broadcast_one: bool,
-                   salts: int = SALTS) -> DataFrame:
-    """Inner join of ``many`` to ``one``, which has one narrow row per key.
+def join_to_unique(many: DataFrame, one: DataFrame, key: str, few: bool,
+                   how: str = "inner") -> DataFrame:
+    """Join of ``many`` to ``one``, which has one narrow row per key.
 
-    When the caller has counted ``one`` and found it small, it is broadcast and
-    ``many`` is not shuffled at all. Otherwise equal rows of ``many`` should have
-    been merged, and the rows of each key are dealt out over ``salts`` partitions,
-    so that no key ends up whole in one task.
+    When the caller has counted ``one`` and found few rows, it is broadcast and
+    ``many`` is not shuffled. Otherwise ``one`` is settled first: adaptive execution
+    then finds a plain shuffle on both sides of the join and can split a partition
+    that a hot key has made large. It cannot do so below an aggregate.
     """
-    if broadcast_one:
-        return many.join(F.broadcast(one), key)
-    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)))
-    copied = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return dealt.join(copied, [key, "_salt"]).drop("_salt")
+    return many.join(F.broadcast(one) if few else settle(one), key, how)
 
 
 def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -53,16 +50,17 @@ def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 def fanout_counts(base: DataFrame, key: str, **sides: tuple[DataFrame, str]) -> DataFrame:
     """How many rows ``base`` has after left joins to all ``sides`` on one key.
 
-    Each side ``name=(df, column)`` is counted per key first, and the counts are
-    multiplied: the joined rows are never built. Adds ``<name>_rows`` (0 where
-    there is no match) and ``joined_rows`` for every row of ``base``.
+    The rows of each side ``name=(df, column)`` are counted per key, all sides in one
+    shuffle, and the counts are multiplied: the joined rows are never built. Adds
+    ``<name>_rows`` (0 where there is no match) and ``joined_rows`` to ``base``.
     """
-    for name, (side, column) in sides.items():
-        counted = (side.filter(F.col(column).isNotNull())
-                   .groupBy(F.col(column).alias(key))
-                   .agg(F.count(F.lit(1)).alias(f"{name}_rows")))
-        base = base.join(counted, key, "left")
-    counts = {f"{name}_rows": F.coalesce(F.col(f"{name}_rows"), F.lit(0)) for name in sides}
-    base = base.withColumns(counts)
-    joined = reduce(mul, (F.greatest(F.col(name), F.lit(1)) for name in counts))
-    return base.withColumn("joined_rows", joined)
+    names = [f"{name}_rows" for name in sides]
+    keys = [
+        side.filter(F.col(column).isNotNull()).select(
+            F.col(column).alias(key), *(F.lit(int(name == own)).alias(name) for name in names))
+        for own, (side, column) in zip(names, sides.values())
+    ]
+    counted = union_all(keys).groupBy(key).agg(*(F.sum(name).alias(name) for name in names))
+    joined = join_to_unique(base, counted, key, few=False, how="left").fillna(0, names)
+    return joined.withColumn(
+        "joined_rows", reduce(mul, (F.greatest(F.col(name), F.lit(1)) for name in names)))

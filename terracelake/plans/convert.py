@@ -43,6 +43,10 @@ def convert_partitioned(spark: SparkSession, source_dir: str, target: str, names
                         tag: str, schema: StructType | str | None = None,
                         keep_others: bool = False, **options: str) -> None:
     """``<source_dir>/<name>.csv`` for all names to one Parquet table, with the
-    name in lower case as the partition column ``tag``."""
+    name in lower case as the partition column ``tag``.
+
+    A task reads parts of one input, or a few small inputs whole, so the rows lie
+    together by name as they are and nothing is shuffled.
+    """
     rows = read_tagged_csv(spark, source_dir, names, tag, schema, **options)
-    write_partitioned(rows, target, tag, keep_others=keep_others)
+    write_partitioned(rows, target, tag, keep_others=keep_others, gather=False)

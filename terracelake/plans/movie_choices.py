@@ -69,15 +69,9 @@ def pick_totals(movies: DataFrame, scores: DataFrame, few: bool) -> DataFrame:
     Scores are at most as many as matches.
     """
     films = movies.select(bigint_or_null("id").alias("id"), "title", "release_date", "popularity")
-    films = films.filter(F.col("id").isNotNull())
-    if few:
-        films = films.withColumn("same", F.lit(1))
-    else:
-        films = (films.groupBy("id", "title", "release_date", "popularity")
-                 .agg(F.count(F.lit(1)).alias("same")))
-    copies = F.col("same") * F.col("copies")
+    copies = F.col("copies")
     return (
-        join_to_unique(films, scores, "id", broadcast_one=few)
+        join_to_unique(films.filter(F.col("id").isNotNull()), scores, "id", few)
         .groupBy("title", "release_date", "popularity")
         .agg(
             F.sum(F.col("rating_rows") * copies).alias("ratings_count"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terracelake.config import RatingBuckets
 from terracelake.functions import bigint_or_null, double_or_null, rounded_mean
-from terracelake.operators import epoch_between, few_rows, ntile
+from terracelake.operators import epoch_between, few_rows, join_to_unique, ntile
 
 
 def order() -> list[Column]:
@@ -46,13 +46,12 @@ def rating_totals(movies: DataFrame, ratings: DataFrame, params: RatingBuckets,
         & epoch_between("timestamp", params.start, params.end))
     if few_movies:
         given = given.select("movieid", "rating", F.lit(1).alias("times"))
-        films = F.broadcast(films)
     else:
         given = given.groupBy("movieid", "rating").agg(F.count(F.lit(1)).alias("times"))
     times = F.col("times")
     # All ratings of a group are equal, so the group's mean is its key.
     return (
-        given.join(films, "movieid")
+        join_to_unique(given, films, "movieid", few_movies)
         .groupBy(F.col("rating").cast("double").alias("avg_rating"))
         .agg(
             F.sum(times * F.col("films")).alias("ratings_count"),

@@ -14,17 +14,20 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, *keys: str, keep_others: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str, *keys: str, keep_others: bool = False,
+                      gather: bool = True) -> None:
     """Parquet with one folder per value of ``keys``.
 
     Rows are brought together by key so that a small key becomes one file, not
     one per task; rebalancing splits a large key into several files of the
-    advisory partition size, written by several tasks. By default the whole table
-    is replaced; ``keep_others`` leaves partitions that are not in ``df`` alone.
+    advisory partition size, written by several tasks. ``gather=False`` saves this
+    shuffle where each task has few keys already. By default the whole table is
+    replaced; ``keep_others`` leaves partitions that are not in ``df`` alone.
     """
     mode = "dynamic" if keep_others else "static"
-    (df.hint("rebalance", *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", mode)
+    if gather:
+        df = df.hint("rebalance", *keys)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy(*keys).parquet(path))
 
 

@@ -89,29 +89,63 @@ def test_fanout_counts_equal_the_joined_rows(spark):
     assert rows(got) == rows(plain)
 
 
-@pytest.mark.parametrize("broadcast_one", [True, False])
-def test_join_to_unique(spark, broadcast_one):
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("few", [True, False])
+def test_join_to_unique(spark, few, how):
     many = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("bigint").alias("k"),
         F.col("id").alias("v"))
     one = spark.range(5, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    got = op.join_to_unique(many, one, "k", broadcast_one)
+    got = op.join_to_unique(many, one, "k", few, how)
     assert got.columns == ["k", "v", "w"]
-    assert rows(got) == rows(many.join(one, "k"))
-
-
-def test_join_to_unique_divides_a_hot_key(spark):
-    many = spark.range(32_000).select(F.lit(7).cast("bigint").alias("k"), F.col("id").alias("v"))
-    one = spark.createDataFrame([(7, 70)], "k bigint, w bigint")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = op.join_to_unique(many, one, "k", False)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 32_000 and max(sizes) < 12_000
+    assert rows(got) == rows(many.join(one, "k", how))
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Thresholds at which test data counts as large and skewed."""
+    conf = {
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def hot_keys(spark):
+    """A third of the rows has one key."""
+    return spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("bigint").alias("k"),
+        F.xxhash64("id").alias("v"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_to_unique_splits_a_hot_key(spark, small_limits, how):
+    many = hot_keys(spark)
+    one = spark.range(20_000).select((F.col("id") % 5000).alias("k")).groupBy("k").agg(
+        F.count(F.lit(1)).alias("w"))
+    totals = op.join_to_unique(many, one, "k", False, how).groupBy((F.col("k") % 10).alias("g")).agg(
+        F.sum("w").alias("s"), F.max("v"))
+    assert sum(r.s for r in totals.collect()) == 600_000 * 4
+    assert "SortMergeJoin(skew=true)" in plan_of(totals)
+
+
+def test_fanout_counts_splits_a_hot_key(spark, small_limits):
+    base = hot_keys(spark)
+    a = spark.range(20_000).select((F.col("id") % 5000).alias("ka"))
+    b = spark.range(7, 8).select(F.col("id").alias("kb"))
+    got = op.fanout_counts(base, "k", a=(a, "ka"), b=(b.union(b), "kb"))
+    total = got.agg(F.sum("joined_rows").alias("n"), F.max("v"))
+    hot = base.filter("k = 7").count()
+    assert total.collect()[0].n == 4 * (600_000 - hot) + 8 * hot
+    assert "SortMergeJoin(skew=true)" in plan_of(total)
 
 
 def test_union_all_keeps_duplicates_and_widens(spark):
