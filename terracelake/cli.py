@@ -62,7 +62,7 @@ def run_convert_bakery(spark: SparkSession, args: argparse.Namespace, at: Locati
 def run_convert_movies(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
     convert.convert_many(
         spark, at.path("bronze", config.MOVIE_DIR), at.path("silver", config.MOVIE_DIR),
-        config.MOVIE_TABLES, quoted_text=args.quoted_text)
+        config.MOVIE_TABLES, schemas=dict(args.schema), quoted_text=args.quoted_text)
 
 
 def run_convert_stocks(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
@@ -118,6 +118,9 @@ def parser() -> argparse.ArgumentParser:
     bakery.add_argument("--quoted-text", action="store_true")
 
     movies = job("convert-movies", run_convert_movies, "bronze", "silver")
+    movies.add_argument("--schema", action="append", default=[], metavar="TABLE=DDL",
+                        type=lambda text: text.split("=", 1),
+                        help="saves a table's inference pass; may be repeated")
     movies.add_argument("--quoted-text", action="store_true",
                         help="allow line breaks and doubled quotes inside quoted fields")
 

@@ -21,16 +21,22 @@ def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.count() <= limit
 
 
-def join_to_unique(many: DataFrame, one: DataFrame, key: str, few: bool,
-                   how: str = "inner") -> DataFrame:
+def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner",
+                   few: bool | None = None) -> DataFrame:
     """Join of ``many`` to ``one``, which has one narrow row per key.
 
-    When the caller has counted ``one`` and found few rows, it is broadcast and
-    ``many`` is not shuffled. Otherwise ``one`` is settled first: adaptive execution
-    then finds a plain shuffle on both sides of the join and can split a partition
-    that a hot key has made large. It cannot do so below an aggregate.
+    If ``one`` has few rows it is broadcast, and ``many`` is not shuffled. ``few`` says
+    so where the caller knows; otherwise ``one`` is counted. A large ``one`` is settled:
+    adaptive execution then finds a plain shuffle on both sides of the join and
+    can split a partition that a hot key has made large. It cannot do so where one
+    side is the output of an aggregate.
     """
-    return many.join(F.broadcast(one) if few else settle(one), key, how)
+    if few is None:
+        one = settle(one)
+        few = few_rows(one)
+    elif not few:
+        one = settle(one)
+    return many.join(F.broadcast(one) if few else one, key, how)
 
 
 def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -47,12 +53,14 @@ def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(right, key == right[right_key], how)
 
 
-def fanout_counts(base: DataFrame, key: str, **sides: tuple[DataFrame, str]) -> DataFrame:
+def fanout_counts(base: DataFrame, key: str, few: bool | None = None,
+                  **sides: tuple[DataFrame, str]) -> DataFrame:
     """How many rows ``base`` has after left joins to all ``sides`` on one key.
 
     The rows of each side ``name=(df, column)`` are counted per key, all sides in one
     shuffle, and the counts are multiplied: the joined rows are never built. Adds
     ``<name>_rows`` (0 where there is no match) and ``joined_rows`` to ``base``.
+    ``few`` says whether the sides have few keys, where that is known.
     """
     names = [f"{name}_rows" for name in sides]
     keys = [
@@ -61,6 +69,6 @@ def fanout_counts(base: DataFrame, key: str, **sides: tuple[DataFrame, str]) ->
         for own, (side, column) in zip(names, sides.values())
     ]
     counted = union_all(keys).groupBy(key).agg(*(F.sum(name).alias(name) for name in names))
-    joined = join_to_unique(base, counted, key, few=False, how="left").fillna(0, names)
+    joined = join_to_unique(base, counted, key, "left", few).fillna(0, names)
     return joined.withColumn(
         "joined_rows", reduce(mul, (F.greatest(F.col(name), F.lit(1)) for name in names)))

@@ -71,7 +71,7 @@ def pick_totals(movies: DataFrame, scores: DataFrame, few: bool) -> DataFrame:
     films = movies.select(bigint_or_null("id").alias("id"), "title", "release_date", "popularity")
     copies = F.col("copies")
     return (
-        join_to_unique(films.filter(F.col("id").isNotNull()), scores, "id", few)
+        join_to_unique(films.filter(F.col("id").isNotNull()), scores, "id", few=few)
         .groupBy("title", "release_date", "popularity")
         .agg(
             F.sum(F.col("rating_rows") * copies).alias("ratings_count"),

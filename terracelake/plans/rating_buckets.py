@@ -51,7 +51,7 @@ def rating_totals(movies: DataFrame, ratings: DataFrame, params: RatingBuckets,
     times = F.col("times")
     # All ratings of a group are equal, so the group's mean is its key.
     return (
-        join_to_unique(given, films, "movieid", few_movies)
+        join_to_unique(given, films, "movieid", few=few_movies)
         .groupBy(F.col("rating").cast("double").alias("avg_rating"))
         .agg(
             F.sum(times * F.col("films")).alias("ratings_count"),

@@ -90,13 +90,13 @@ def test_fanout_counts_equal_the_joined_rows(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("few", [True, False, None])
 def test_join_to_unique(spark, few, how):
     many = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("bigint").alias("k"),
         F.col("id").alias("v"))
     one = spark.range(5, 40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    got = op.join_to_unique(many, one, "k", few, how)
+    got = op.join_to_unique(many, one, "k", how, few)
     assert got.columns == ["k", "v", "w"]
     assert rows(got) == rows(many.join(one, "k", how))
 
@@ -131,7 +131,7 @@ def test_join_to_unique_splits_a_hot_key(spark, small_limits, how):
     many = hot_keys(spark)
     one = spark.range(20_000).select((F.col("id") % 5000).alias("k")).groupBy("k").agg(
         F.count(F.lit(1)).alias("w"))
-    totals = op.join_to_unique(many, one, "k", False, how).groupBy((F.col("k") % 10).alias("g")).agg(
+    totals = op.join_to_unique(many, one, "k", how, few=False).groupBy((F.col("k") % 10).alias("g")).agg(
         F.sum("w").alias("s"), F.max("v"))
     assert sum(r.s for r in totals.collect()) == 600_000 * 4
     assert "SortMergeJoin(skew=true)" in plan_of(totals)
@@ -141,7 +141,7 @@ def test_fanout_counts_splits_a_hot_key(spark, small_limits):
     base = hot_keys(spark)
     a = spark.range(20_000).select((F.col("id") % 5000).alias("ka"))
     b = spark.range(7, 8).select(F.col("id").alias("kb"))
-    got = op.fanout_counts(base, "k", a=(a, "ka"), b=(b.union(b), "kb"))
+    got = op.fanout_counts(base, "k", few=False, a=(a, "ka"), b=(b.union(b), "kb"))
     total = got.agg(F.sum("joined_rows").alias("n"), F.max("v"))
     hot = base.filter("k = 7").count()
     assert total.collect()[0].n == 4 * (600_000 - hot) + 8 * hot

@@ -300,7 +300,8 @@ def test_every_job_from_raw_to_gold(spark, tmp_path, database, by_name):
     write_stocks(tmp_path / "bronze/stocks")
     run = lambda *words: main(list(words), spark)
     run("convert-bakery", "--bronze", bronze, "--silver", silver)
-    run("convert-movies", "--bronze", bronze, "--silver", silver)
+    run("convert-movies", "--bronze", bronze, "--silver", silver,
+        "--schema", "ratings=movieid bigint, rating double, timestamp bigint")
     run("convert-stocks", "--bronze", bronze, "--silver", silver, "--symbol", "AAPL", "IBM")
     source = ["--silver", silver]
     if by_name:
@@ -308,6 +309,7 @@ def test_every_job_from_raw_to_gold(spark, tmp_path, database, by_name):
         run("register", "--bronze", bronze, "--layer", "bronze", "--database", database)
         source = ["--database", database]
         assert spark.table(f"{database}.raw_ratings").count() == 3
+        assert spark.table(f"{database}.processed_ratings").dtypes[0] == ("movieid", "bigint")
     before = spark.catalog.currentDatabase()
     for job in ("item-sales", "movie-choices", "rating-buckets", "top-volatility"):
         run(job, *source, "--gold", gold)
