@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField
 
 log = logging.getLogger(__name__)
 
@@ -55,7 +56,8 @@ def table_folders(spark: SparkSession, root: str,
 def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
                     source: str = "parquet", merge_schema: bool = True,
                     one_per_file: Collection[str] = ()) -> list[str]:
-    """Makes each data folder under ``root`` the external table ``<prefix><folder>``.
+    """Makes each data folder under ``root`` the external table ``<prefix><folder>``,
+    in lower case and with ``_`` for characters that a table name cannot have.
 
     Run it again after new data has come: new columns are added, changed types are
     updated, new partitions are picked up. Columns and folders that have gone are
@@ -64,42 +66,48 @@ def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
     folder are known to agree.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    options = dict(CSV_OPTIONS) if source == "csv" else {"mergeSchema": str(merge_schema).lower()}
+    options = CSV_OPTIONS if source == "csv" else {"mergeSchema": str(merge_schema).lower()}
     folders = table_folders(spark, root, one_per_file)
-    names = []
+    names = {folder: re.sub(r"[^0-9a-z_]", "_", f"{prefix}{folder}".lower()) for folder in folders}
     for folder, path in folders.items():
-        name = f"{database}.{prefix}{folder}"
-        seen = spark.read.format(source).options(**options).load(path).schema
+        name = f"`{database}`.`{names[folder]}`"
         if spark.catalog.tableExists(name):
-            _update_table(spark, name, path, source, options, seen)
+            _update_table(spark, name, path, source, options)
         else:
             spark.catalog.createTable(name, path=path, source=source, schema=None, **options)
-        if _is_partitioned(spark, name):
+        if _partition_columns(spark, name):
             spark.catalog.recoverPartitions(name)
-        names.append(name)
     for table in spark.catalog.listTables(database):
-        if table.name.startswith(prefix) and table.name not in {f"{prefix}{f}".lower() for f in folders}:
+        if table.name.startswith(prefix) and table.name not in names.values() and not table.isTemporary:
             log.warning("no data folder found for table %s.%s; it is kept", database, table.name)
-    return names
+    return [f"{database}.{name}" for name in names.values()]
 
 
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(column.isPartition for column in spark.catalog.listColumns(name))
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
 
 
 def _update_table(spark: SparkSession, name: str, path: str, source: str,
-                  options: dict[str, str], seen: StructType) -> None:
+                  options: dict[str, str]) -> None:
     known = spark.table(name).schema
-    gone = [f.name for f in known if f.name not in seen.names]
+    seen = spark.read.format(source).options(**options).load(path).schema
+    gone = [f for f in known if f.name not in seen.names]
     if gone:
-        log.warning("columns %s of table %s are in no file; they are kept", gone, name)
+        log.warning("no file of table %s has the columns %s; they are kept", name, [f.name for f in gone])
     added = [f for f in seen if f.name not in known.names]
-    changed = [f.name for f in known if f.name in seen.names and seen[f.name].dataType != f.dataType]
+    changed = [f for f in known if f.name in seen.names and seen[f.name].dataType != f.dataType]
     if changed:
-        # An external table: dropping it leaves the files alone.
-        merged = StructType([*seen, *(f for f in known if f.name in gone)])
+        # The table is external, so dropping it leaves the files alone.
+        keys = _partition_columns(spark, name)
+        fields = sorted([*seen, *gone], key=lambda f: f.name in keys)
+        settings = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
+        partitioned = f"PARTITIONED BY ({', '.join(f'`{key}`' for key in keys)})" if keys else ""
         spark.sql(f"DROP TABLE {name}")
-        spark.catalog.createTable(name, path=path, source=source, schema=merged, **options)
+        spark.sql(f"CREATE TABLE {name} ({_columns(fields)}) USING {source} OPTIONS ({settings}) "
+                  f"{partitioned} LOCATION '{path}'")
     elif added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
+
+
+def _columns(fields: list[StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

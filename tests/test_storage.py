@@ -249,6 +249,23 @@ def test_register_updates_changed_types_and_keeps_gone_columns(spark, tmp_path,
     assert rows(table) == [(5_000_000_000, None)]
 
 
+def test_register_updates_changed_types_of_a_partitioned_table(spark, tmp_path, database):
+    data = str(tmp_path / "silver/my-stocks")
+    stocks = fixtures.stocks(spark)
+    sinks.write_partitioned(stocks, data, "symbol")
+    (name,) = sources.register_tables(spark, str(tmp_path / "silver"), database, "p_")
+    assert name == f"{database}.p_my_stocks"
+    changed = stocks.withColumn("close", F.col("close").cast("int")).withColumn("volume", F.lit(5))
+    sinks.write_partitioned(changed, data, "symbol")
+    sources.register_tables(spark, str(tmp_path / "silver"), database, "p_")
+    table = spark.table(name)
+    assert table.columns == ["date", "high", "low", "close", "volume", "symbol"]
+    assert dict(table.dtypes)["close"] == "int"
+    assert rows(table) == rows(changed.select(table.columns))
+    assert "PartitionFilters: [isnotnull(symbol" in (
+        table.filter("symbol = 'ibm'")._jdf.queryExecution().executedPlan().toString())
+
+
 def test_register_raw_csv(spark, tmp_path, database):
     write_stocks(tmp_path / "bronze/stocks")
     write(tmp_path / "bronze/mixed/a.csv", "x\n1\n")
