@@ -102,9 +102,10 @@ def _update_table(spark: SparkSession, name: str, path: str, source: str,
         fields = sorted([*seen, *gone], key=lambda f: f.name in keys)
         settings = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
         partitioned = f"PARTITIONED BY ({', '.join(f'`{key}`' for key in keys)})" if keys else ""
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"DROP TABLE {name}")
         spark.sql(f"CREATE TABLE {name} ({_columns(fields)}) USING {source} OPTIONS ({settings}) "
-                  f"{partitioned} LOCATION '{path}'")
+                  f"{partitioned} LOCATION '{escaped}'")
     elif added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
 

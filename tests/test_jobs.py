@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
@@ -81,6 +82,50 @@ def test_movie_choices_many_matches_give_the_same_picks(spark):
     assert sorted(rows(few)) == sorted(rows(many)) != []
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_inputs_give_what_the_plain_joins_give(spark, seed):
+    """Keys repeat on every side; halves keep all sums exact."""
+    rng = random.Random(seed)
+    key = lambda: rng.choice([1, 1, 1, 2, 3, 4, 5])
+    movies = spark.createDataFrame(
+        [(rng.choice([str(key()), "x", None]), rng.choice("AB"), rng.choice(["2000-01-02", "?", None]),
+          rng.choice(["1.5", "2", "n/a", None])) for _ in range(25)],
+        "id string, title string, release_date string, popularity string")
+    ratings = spark.createDataFrame(
+        [(key(), rng.choice([None, 0.0, 0.5, 4.5, 5.0]), 1451606390 + rng.randrange(20)) for _ in range(60)],
+        "movieid bigint, rating double, timestamp bigint")
+    keywords = spark.createDataFrame(
+        [(key(), rng.choice(["Robots", "ARTIFICIAL intelligence", "none", None])) for _ in range(15)],
+        "id bigint, keywords string")
+    cast = spark.createDataFrame(
+        [(key(), rng.choice(["Keanu REEVES", "x will smith", "y", None])) for _ in range(15)],
+        "id bigint, cast string")
+    frames = {"m": movies, "r": ratings, "k": keywords, "c": cast}
+    choices = spark.sql("""
+        WITH picks AS (
+          SELECT title, try_cast(release_date AS date) AS release_date, popularity, release_date AS raw,
+                 count(movieid) AS ratings_count, round(avg(rating), 3) AS avg_rating
+          FROM {m} m LEFT JOIN {r} r ON try_cast(m.id AS bigint) = r.movieid
+               LEFT JOIN {k} k ON try_cast(m.id AS bigint) = k.id
+               LEFT JOIN {c} c ON try_cast(m.id AS bigint) = c.id
+          WHERE (lower(keywords) LIKE '%artificial intelligence%' OR lower(keywords) LIKE '%robot%')
+            AND (lower(cast) LIKE '%will smith%' OR lower(cast) LIKE '%keanu reeves%')
+          GROUP BY title, m.release_date, popularity)
+        SELECT title, ntile(3) OVER (ORDER BY avg_rating DESC, title, raw, popularity) AS rank,
+               avg_rating, ratings_count, popularity, release_date
+        FROM picks WHERE avg_rating > 0""", **frames)
+    got = movie_choices.build(movies, ratings, keywords, cast)
+    assert sorted(rows(got), key=repr) == sorted(rows(choices), key=repr) != []
+    buckets = spark.sql("""
+        SELECT ntile(10) OVER (ORDER BY rating DESC) AS rank, avg(rating) AS avg_rating,
+               count(movieid) AS ratings_count, round(avg(try_cast(popularity AS double)), 2) AS popularity
+        FROM {m} m LEFT JOIN {r} r ON try_cast(m.id AS bigint) = r.movieid
+        WHERE rating IS NOT NULL AND from_unixtime(timestamp) >= to_timestamp('2016-01-01 00:00:00')
+          AND from_unixtime(timestamp) <= to_timestamp('2016-12-31 23:59:59')
+        GROUP BY rating""", m=movies, r=ratings)
+    assert sorted(rows(rating_buckets.build(movies, ratings))) == sorted(rows(buckets)) != []
+
+
 def test_rating_buckets_includes_both_ends_of_the_range(spark):
     got = rating_buckets.build(fixtures.movies(spark), fixtures.ratings(spark))
     assert got.columns == ["rank", "avg_rating", "ratings_count", "popularity"]
