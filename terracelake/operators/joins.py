@@ -12,7 +12,7 @@ from terracelake.functions import bigint_or_null
 from terracelake.operators.unions import union_all
 from terracelake.session import settle
 
-# Rows of at most a few numbers each, so some tens of megabytes.
+# Rows of at most five numbers each, so about a hundred megabytes as a hash table.
 BROADCAST_ROWS = 1_000_000
 
 

@@ -83,6 +83,13 @@ def test_tagged_csv_takes_folders_of_part_files(spark, tmp_path):
     assert rows(got.groupBy("tag").count()) == [("one", 10), ("one.more", 10)]
 
 
+def test_tagged_csv_refuses_ambiguous_names(spark, tmp_path):
+    with pytest.raises(ValueError, match="csv"):
+        sources.read_tagged_csv(spark, str(tmp_path), ["a.csv.b"], "tag")
+    with pytest.raises(ValueError, match="csv"):
+        sources.read_tagged_csv(spark, "/data/all.csv/", ["a"], "tag")
+
+
 # ---- sinks
 
 
