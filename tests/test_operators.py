@@ -205,3 +205,21 @@ def test_ntile_switches_to_ranges_above_the_limit(spark):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_safe_key_left_join_splits_the_null_keys(spark, small_limits):
+    left = spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, "bad").otherwise((F.col("id") % 5000).cast("string")).alias("k"),
+        F.xxhash64("id").alias("v"))
+    right = spark.range(5000).select("id", F.lit(1).alias("w"))
+    totals = op.safe_key_join(left, right, "k", "id", "left").agg(F.count("v"), F.sum("w"), F.max("v"))
+    assert tuple(totals.collect()[0])[:2] == (600_000, 400_000)
+    assert "SortMergeJoin(skew=true)" in plan_of(totals)
+
+
+def test_plain_left_join_splits_a_hot_key(spark, small_limits):
+    many = hot_keys(spark)
+    one = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    totals = many.join(one, "k", "left").agg(F.sum("w"), F.max("v"))
+    assert totals.collect()[0][0] == 600_000
+    assert "SortMergeJoin(skew=true)" in plan_of(totals)
