@@ -26,12 +26,15 @@ def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner"
     """Join of ``many`` to ``one``, which has one narrow row per key.
 
     If ``one`` has few rows it is broadcast, and ``many`` is not shuffled. ``few`` says
-    so where the caller knows; otherwise ``one`` is counted. A large ``one`` is settled:
-    adaptive execution then finds a plain shuffle on both sides of the join and
-    can split a partition that a hot key has made large. It cannot do so where one
-    side is the output of an aggregate.
+    so where the caller knows; otherwise both sides are counted, and nothing special
+    is done if all of ``many`` (best a stored table) is small enough for one task. A
+    large ``one`` is settled: adaptive execution then finds a plain shuffle on both
+    sides of the join and can split a partition that a hot key has made large. It
+    cannot do so where one side is the output of an aggregate.
     """
     if few is None:
+        if few_rows(many):
+            return many.join(one, key, how)
         one = settle(one)
         few = few_rows(one)
     elif not few:
