@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -165,13 +165,21 @@ def test_top_k_text_order(spark):
 # ---- ntile
 
 
+@pytest.fixture(params=["merged", "separate"])
+def ranges(spark, request):
+    """Adaptive execution merges small ranges into one; here it may not."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(request.param == "merged").lower())
+    yield request.param
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def plain_ntile(df, k, order):
     return df.withColumn("rank", F.ntile(k).over(Window.orderBy(*order)))
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=40), st.integers(1, 12))
-def test_ntile_by_range_equals_ntile(spark, values, k):
+def test_ntile_by_range_equals_ntile(spark, ranges, values, k):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v int")
     order = [F.col("v").desc(), F.col("id")]
     got = op.ntile_by_range(df, k, order)
@@ -180,18 +188,23 @@ def test_ntile_by_range_equals_ntile(spark, values, k):
 
 
 @pytest.mark.parametrize("k", [3, 7, 10])
-def test_ntile_by_range_with_a_hot_value(spark, k):
+def test_ntile_by_range_with_a_hot_value(spark, ranges, k):
     df = spark.range(20_011).select(
         "id", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") % 1000).alias("v"))
     order = [F.col("v").desc(), F.col("id")]
-    assert rows(op.ntile_by_range(df, k, order)) == rows(plain_ntile(df, k, order))
+    got = op.ntile_by_range(df, k, order)
+    assert rows(got) == rows(plain_ntile(df, k, order))
+    assert got.rdd.getNumPartitions() == (8 if ranges == "separate" else 1)
 
 
-def test_ntile_of_copies_has_even_buckets(spark):
+def test_ntile_of_copies_has_even_buckets_and_ranges(spark, ranges):
     df = spark.range(1000).select(F.lit(1).alias("v"))
-    got = op.ntile_by_range(df, 3, [F.col("v")]).groupBy("rank").count()
-    assert rows(got) == [(1, 334), (2, 333), (3, 333)]
-    assert op.ntile_by_range(df, 3, [F.col("v")]).columns == ["v", "rank"]
+    got = op.ntile_by_range(df, 3, [F.col("v")])
+    assert got.columns == ["v", "rank"]
+    assert rows(got.groupBy("rank").count()) == [(1, 334), (2, 333), (3, 333)]
+    if ranges == "separate":
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 300
 
 
 def test_ntile_switches_to_ranges_above_the_limit(spark):
