@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.oracle import connect, difference
+from workload.registry import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -15,14 +16,15 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("key", driver.queries())
+@pytest.mark.parametrize("key", QUERIES)
 def test_query_equals_sql(spark, connection, key):
-    wrong, rows = difference(spark, connection, driver.queries()[key], driver.oracle_sql()[key], FOLDER)
+    wrong, rows = difference(spark, connection, QUERIES[key], ORACLE_SQL[key], FOLDER)
     assert wrong is None and rows > 0
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
