@@ -34,7 +34,7 @@ from terracelake.llm.tokens import WordIds, encoder
 # Shares of the capacity up to which a piece counts as small, each with a number of groups.
 # A low share leaves more to the programme, a high one more to the best fit; which is better
 # depends on the lengths, so each is planned (a second in all) and the shortest plan is kept.
-TRIALS = ((1 / 4, 64), (1 / 3, 128), (1 / 2, 64))
+TRIALS = ((1 / 4, 48), (1 / 3, 96), (1 / 2, 64))
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -51,7 +51,7 @@ class Run:
         return Run(count, self.room - length * many, ((length, many), self.items))
 
 
-def best_configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 2000):
+def best_configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, patience: int = 60):
     """Fractional numbers of configurations that cover ``demand`` with the fewest sequences.
 
     Column generation: a simplex basis of as many configurations as there are sizes, and a
@@ -61,8 +61,11 @@ def best_configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, ro
     basis = np.diag((capacity // sizes).astype(float))
     # Slightly uneven demands keep the simplex steps from going in circles.
     wanted = demand.astype(float) + 1e-6 * (1 + np.arange(n))
-    for _ in range(rounds):
+    fewest, since = np.inf, 0
+    while since < patience:  # steps without progress: the basis is optimal or as good as it gets
         inverse = np.linalg.inv(basis)
+        needed = float((inverse @ wanted).sum())
+        fewest, since = (needed, 0) if needed < fewest * (1 - 1e-6) else (fewest, since + 1)
         prices = inverse.sum(axis=0)
         worth, column = _knapsack(sizes, prices, capacity)
         if worth <= 1 + 1e-9:

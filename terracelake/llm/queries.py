@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracelake.llm.common import table, text_of
+from terracelake.llm.licenses import scan_licenses
 from terracelake.llm.line_dedup import drop_shared_lines
+from terracelake.llm.nearest import nearest
 from terracelake.llm.packing import pack
 from terracelake.llm.sharding import shard_by_bytes
+from terracelake.llm.simhash import near_duplicates
 from terracelake.llm.token_counts import count_tokens
+from terracelake.llm.token_files import new_folder, read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,13 +62,38 @@ ORACLE_SQL["op2_line_dedup"] = r"""
     FROM marked GROUP BY r"""
 
 
+@query
+def op3_plane_files(spark: SparkSession, d: str) -> DataFrame:
+    documents, folder = table(spark, d, "documents"), new_folder(spark)
+    manifest = write_token_files(documents, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(manifest, folder).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op4_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return count_tokens(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
     return shard_by_bytes(table(spark, d, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_block_nearest(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return scan_licenses(table(spark, d, "documents"))
