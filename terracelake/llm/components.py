@@ -9,7 +9,8 @@ from terracelake.llm.common import store
 
 
 def smallest_reachable(edges: DataFrame, first: DataFrame) -> DataFrame:
-    """node, component: the smallest ``first`` of the nodes that can be reached from each node of an edge.
+    """node, component, root: for each node of an edge the smallest ``first`` that can be reached, and
+    the node that has it.
 
     ``edges``: a long, b long, undirected. ``first``: node long, first long, one row per node.
 
@@ -30,7 +31,7 @@ def smallest_reachable(edges: DataFrame, first: DataFrame) -> DataFrame:
         nearer = store(labels.join(seen, "node").select(
             "node", F.least("label", "seen").alias("label"), (F.col("seen") < F.col("label")).alias("moved")), "nearer")
         if nearer.filter("moved").isEmpty():
-            return labels.select("node", F.col("label.first").alias("component"))
+            return labels.select("node", F.col("label.first").alias("component"), F.col("label.at").alias("root"))
         ahead = nearer.select(F.col("node").alias("at"), F.col("label").alias("ahead"))
         labels = store(
             nearer.withColumn("at", F.col("label.at")).join(ahead, "at")

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracelake.llm.common import table, text_of
+from terracelake.llm.decontaminate import find_items
 from terracelake.llm.licenses import scan_licenses
 from terracelake.llm.line_dedup import drop_shared_lines
 from terracelake.llm.nearest import nearest
 from terracelake.llm.packing import pack
+from terracelake.llm.quality import judge
 from terracelake.llm.sharding import shard_by_bytes
 from terracelake.llm.simhash import near_duplicates
 from terracelake.llm.token_counts import count_tokens
@@ -88,6 +90,11 @@ def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return find_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 @query
 def op8_block_nearest(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
@@ -97,3 +104,11 @@ def op8_block_nearest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan_licenses(table(spark, d, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that the classifier keeps."""
+    documents = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    judged = judge(documents, table(spark, d, "labels"))
+    return judged.filter("keep").select("doc_id", "toxic", "low", "keep")

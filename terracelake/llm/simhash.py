@@ -34,6 +34,7 @@ BUDGET = [(i + 1) * DISTANCE // SEGMENTS for i in range(SEGMENTS)]
 CHUNK = 1 << 15
 # A bucket of more fingerprints is compared in pairs of blocks of about this many.
 BLOCK = 2048
+NO_ID = (1 << 63) - 1  # stands for a null doc_id
 # Up to here the fingerprints of a bucket are compared neighbour by neighbour, many buckets at once.
 FEW = 16
 
@@ -57,15 +58,17 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fingerprint of every text."""
+    """doc_id, text_hash and print (the fingerprint) of every text."""
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(text, shingle) for text in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "print"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(prints, pa.int64())],
+                                  ["doc_id", "text_hash", "print"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        printed, "doc_id long, print long")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"),
+    ).mapInArrow(printed, "doc_id long, text_hash long, print long")
 
 
 def buckets(prints: DataFrame) -> DataFrame:
@@ -178,6 +181,19 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
                  .mapInArrow(_links, "a long, b long"), "links")
 
 
+def grouped(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, text_hash, print, component_id and root (the fingerprint that names the group) of every row."""
+    prepare(docs.sparkSession)
+    printed = store(fingerprints(docs, shingle), "fingerprints")
+    first = store(printed.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct_prints")
+    nodes = first.select(F.col("print").alias("node"), F.coalesce("first", F.lit(NO_ID)).alias("first"))
+    reached = smallest_reachable(links(first.select("print")), nodes)
+    components = store(first.join(reached, first["print"] == reached["node"], "left").select(
+        "print", F.coalesce("root", "print").alias("root"),
+        F.nullif(F.coalesce("component", "first"), F.lit(NO_ID)).alias("component_id")), "components")
+    return printed.join(components, "print")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """doc_id, fingerprint (a long) and component_id of every row.
 
@@ -190,12 +206,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     a null component_id. Rows with the same doc_id each have their own fingerprint. An empty
     table gives no rows. Other columns are not read.
     """
-    prepare(docs.sparkSession)
-    printed = store(fingerprints(docs, shingle), "fingerprints")
-    first = store(printed.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct_prints")
-    nodes = first.select(F.col("print").alias("node"), F.coalesce("first", F.lit((1 << 63) - 1)).alias("first"))
-    reached = smallest_reachable(links(first.select("print")), nodes)
-    components = store(first.join(reached, first["print"] == reached["node"], "left").select(
-        "print", F.nullif(F.coalesce("component", "first"), F.lit((1 << 63) - 1)).alias("component_id")), "components")
-    return printed.join(components, "print").select(
-        "doc_id", F.col("print").alias("fingerprint"), "component_id")
+    return grouped(docs, shingle).select("doc_id", F.col("print").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 4) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one stays for each group of near-duplicates.
+
+    It is the one with the smallest doc_id (rows without one come last; among rows with the same
+    doc_id the smallest text hash decides). Of rows with the same doc_id and text one stays.
+    Other cases are as in ``near_duplicates``.
+    """
+    own = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_hash").alias("hash"))
+    kept = store(grouped(docs, shingle).groupBy("root").agg(F.min(own).alias("kept")), "representatives")
+    keyed = docs.withColumns({"_sh_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                              "_sh_hash": F.xxhash64(text_of())})
+    return (
+        keyed.join(kept.select(F.col("kept.id").alias("_sh_id"), F.col("kept.hash").alias("_sh_hash")),
+                   ["_sh_id", "_sh_hash"], "left_semi")
+        .dropDuplicates(["_sh_id", "_sh_hash"]).drop("_sh_id", "_sh_hash")
+    )
