@@ -16,8 +16,8 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Entries remembered by one worker; both tables are emptied when they are full.
-CHUNKS = 250_000
-WORDS = 250_000
+CHUNKS = 600_000
+WORDS = 400_000
 LONGEST = 64  # characters of a piece worth remembering
 
 # Letters up to here are unchanged by NFC and have one lower-case form, whatever the
@@ -62,7 +62,8 @@ class Chunks(dict):
         if found is None:
             if len(self.words) >= WORDS:
                 self.words.clear()
-            letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            letters = word.replace(" ", BYTE_LETTERS[32]) if word.isascii() else (
+                word.encode().decode("latin-1").translate(BYTE_LETTERS))
             found = packed([t.id for t in self.model.tokenize(letters)])
             if len(word) <= LONGEST:
                 self.words[word] = found
