@@ -1,0 +1,257 @@
+"""Line dedup, SimHash, components and decontamination against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from terracelake.llm import simhash
+from terracelake.llm.components import smallest_reachable
+from terracelake.llm.decontaminate import Items, aligned, find_items, without_items, words_of
+from terracelake.llm.line_dedup import drop_shared_lines
+from terracelake.llm.simhash import bucket_links, fingerprint, links, near_duplicates, representatives
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def brute_lines(docs):
+    held = {}
+    for doc_id, text in docs:
+        for line in (text or "").split("\n"):
+            key = line.strip(" \t\n\v\f\r").translate(LOWER)
+            if len(key) >= 10:
+                held.setdefault(key, set()).add(doc_id)
+    out = []
+    for doc_id, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(held.get(k := x.strip(" \t\n\v\f\r").translate(LOWER), ())) < 2
+                or min(held[k]) == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out)
+
+
+def our_lines(docs):
+    return sorted(tuple(r) for r in drop_shared_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256)).collect())
+
+
+def test_lines(spark):
+    long = "a line that many hold"
+    rows = [(5, f"{long}\nown line of five\n{long} \n"), (3, f"x\n  {long.upper()}\t\n\ny"), (9, long), (4, None), (6, ""),
+            (7, "short\nshort\n"), (8, "short"), (10, f"{long}\nanother one here\n{long}\nend"), (11, "another one here"),
+            (12, "ÄÖÜ line with capitals"), (13, "äöü line with capitals"), (14, "\n".join(f"line number {i % 70}" for i in range(3000))),
+            (15, "\n".join(f"line number {i}" for i in range(35)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit("own") for c in ("h1", "n", "n_lines", "keeper", "key")})
+    assert our_lines(docs) == brute_lines(rows)
+    got = drop_shared_lines(docs)
+    assert {r.doc_id: r.text for r in got.collect()}[4] is None and set(docs.columns) <= set(got.columns)
+    assert drop_shared_lines(docs.limit(0)).collect() == []
+
+
+def test_lines_of_rows_without_or_with_the_same_id(spark):
+    line = "the very same line"
+    rows = [(None, line), (1, line), (1, line + "\nmore of it"), (2, line), (2, line)]
+    got = {(r.doc_id, r.n_lines): r.n_dropped for r in drop_shared_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, 1): 1, (1, 1): 0, (1, 2): 0, (2, 1): 1}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["shared line one", "SHARED line one ", "other shared line", "", "tiny", "only here"]), max_size=5),
+                min_size=1, max_size=6))
+def test_random_lines(spark, texts):
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    assert our_lines(spark.createDataFrame(rows, "doc_id long, text string")) == brute_lines(rows)
+
+
+def brute_print(text, shingle=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not words:
+        return 0
+    n = max(1, len(words) - shingle + 1)
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i:i + shingle]).encode(), seed=42) for i in range(n)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("aB é\n\t\x0b\x1c "), max_size=60))
+def test_fingerprint(text):
+    assert fingerprint(text, 4) % (1 << 64) == brute_print(text)
+
+
+def test_fingerprint_of_a_long_text(monkeypatch):
+    text = " ".join(f"w{i % 97}" for i in range(5000))
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert fingerprint(text, 4) % (1 << 64) == brute_print(text)
+
+
+def flipped(value, bits):
+    for b in bits:
+        value ^= 1 << b
+    return value
+
+
+def test_every_pair_within_four_bits_shares_a_bucket():
+    source = random.Random(1)
+    for _ in range(3000):
+        a = source.getrandbits(64)
+        x = flipped(0, source.sample(range(64), source.randint(0, 4)))
+        seg = [x >> 8 * (7 - i) & 255 for i in range(8)]
+        chain = [sum(bin(s).count("1") for s in (seg[i:] + seg[:i])[:n]) for i in range(8) for n in range(1, 9)]
+        good = [i for i in range(8) if all(chain[8 * i + n] <= simhash.BUDGET[n] for n in range(8))]
+        assert good and any(seg[i] == seg[(i + p) % 8] == seg[(i + q) % 8] == 0 for i in good for p, q in simhash.PATTERNS), a
+
+
+def brute_components(prints):
+    parent = {p: p for p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+    own = list(prints)
+    for i, a in enumerate(own):
+        for b in own[:i]:
+            if bin(a ^ b).count("1") <= 4:
+                parent[root(a)] = root(b)
+    return {p: root(p) for p in own}
+
+
+def near_prints(seed, centres=12, each=40, most=7):
+    source = random.Random(seed)
+    out = set()
+    for _ in range(centres):
+        at = source.getrandbits(64)
+        for _ in range(each):
+            out.add(flipped(at, source.sample(range(64), source.randint(0, most))))
+    return out
+
+
+def same_groups(a, b):
+    return len(set(zip(a, b))) == len(set(a)) == len(set(b))
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_links_connect_what_is_near(spark, block):
+    prints = near_prints(block)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    found = links(spark.createDataFrame([(p,) for p in signed], "print long"), block).collect()
+    for r in found:
+        assert bin((r.a ^ r.b) % (1 << 64)).count("1") <= 4
+    nodes = spark.createDataFrame([(p, i) for i, p in enumerate(signed)], "node long, first long")
+    edges = spark.createDataFrame([(r.a, r.b) for r in found], "a long, b long")
+    reached = {r.node: r.root for r in smallest_reachable(edges, nodes).collect()}
+    truth = brute_components(prints)
+    assert same_groups([reached.get(s, s) for s in signed], [truth[s % (1 << 64)] for s in signed])
+
+
+def test_buckets_over_several_batches():
+    prints = np.array(sorted(near_prints(5, 3, 60, 3)), np.uint64)
+    key = np.zeros(len(prints), np.int64)
+    a, b = bucket_links(key, prints, np.array([0, len(prints)]))
+    assert (np.bitwise_count(a ^ b) <= 4).all() and len(a) < len(prints)
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(100, 60, -1)] + [(i, i + 1) for i in range(60)]
+    edges = spark.createDataFrame([*chain, (500, 501), (501, 502), (7, 7)], "a long, b long")
+    nodes = spark.createDataFrame([(i, 1000 - i) for i in [*range(102), 500, 501, 502, 900]], "node long, first long")
+    got = {r.node: (r.component, r.root) for r in smallest_reachable(edges, nodes).collect()}
+    assert {got[i] for i in range(61)} == {(940, 60)} and {got[i] for i in range(61, 102)} == {(899, 101)}
+    assert {got[i] for i in (500, 501, 502)} == {(498, 502)} and 900 not in got
+
+
+def test_near_duplicates(spark):
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(5, base), (2, base), (9, base + " more"), (4, None), (6, ""), (8, " \t"), (7, "other words here"), (None, base), (None, "alone without id"), (7, "second text of seven")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("print", F.lit("own"))
+    got = near_duplicates(docs).collect()
+    truth = brute_components({brute_print(t) for _, t in rows})
+    smallest = {}
+    for doc_id, text in rows:
+        if doc_id is not None:
+            root = truth[brute_print(text)]
+            smallest[root] = min(doc_id, smallest.get(root, doc_id))
+    want = [(d, brute_print(t), smallest.get(truth[brute_print(t)])) for d, t in rows]
+    assert sorted(map(repr, ((r.doc_id, r.fingerprint % (1 << 64), r.component_id) for r in got))) == sorted(map(repr, want))
+    kept = representatives(docs.union(docs.filter("doc_id = 2"))).collect()
+    assert len(kept) == len(set(truth.values())) and kept[0].print == "own"
+    assert sum(r.doc_id == 2 for r in kept) == 1
+    assert near_duplicates(docs.limit(0)).collect() == [] and representatives(docs.limit(0)).collect() == []
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 4), min_size=1, max_size=7), st.lists(st.integers(1, 4), max_size=12))
+def test_alignment(item, text):
+    d, a, b = aligned(np.array(item), np.array(text, dtype=np.int64))
+    best = min(edit_distance(item, text[i:j]) for i in range(len(text) + 1) for j in range(i, len(text) + 1))
+    assert d == best == edit_distance(item, text[a:b])
+
+
+def edited(source, words, k):
+    out = list(words)
+    for at in sorted(source.sample(range(len(words)), k), reverse=True):
+        out[at:at + 1] = source.choice([["changed"], [], [out[at], "added"]])
+    return out
+
+
+def test_recall_at_the_greatest_distance():
+    """Windows that are as far from the item as is allowed must be found in at least 95 of 100 cases."""
+    source = random.Random(2)
+    items = [[f"w{source.randint(0, 400)}" for _ in range(n)] for n in range(15, 60) for _ in range(4)]
+    vocabulary = {}
+    numbers = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]) for words in items]
+    own = Items(list(range(len(items))), numbers, vocabulary, 0.8)
+    found = 0
+    for i, words in enumerate(items):
+        around = [f"w{source.randint(0, 800)}" for _ in range(120)]
+        text = around[:60] + edited(source, words, own.edits(len(words))) + around[60:]
+        ids = np.array([vocabulary.get(w, 0) for w in text])
+        seeds = own.seeds(np.append(ids, 0))
+        found += any(m[0] == i for m in own.matches(ids, seeds)) if len(seeds) else 0
+    assert found >= 0.95 * len(items)
+
+
+def test_items_in_documents(spark):
+    source = random.Random(4)
+    items = [(i, " ".join(f"item{source.randint(0, 300)}" for _ in range(n))) for i, n in enumerate((12, 20, 30, 3, 1))]
+    filler = [f"filler{i}" for i in range(200)]
+
+    def inside(words):
+        return " ".join(filler[:80]) + "\n" + " ".join(words) + ".\n" + " ".join(filler[80:])
+    exact = {i: inside(t.upper().split()) for i, t in items}
+    rows = [(1, exact[0]), (2, exact[1]), (3, inside(edited(source, items[2][1].split(), 5))), (4, inside(["nothing"])), (5, None), (6, ""),
+            (None, exact[2]), (8, items[1][1]), (9, exact[3]), (10, inside(edited(source, items[2][1].split(), 12))), (11, exact[4]), (11, exact[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("own"))
+    bench = spark.createDataFrame([*items, (77, None), (78, " ... "), (None, "a null id of five words")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in find_items(docs, bench).collect()}
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (None, 2), (8, 1), (9, 3), (11, 4), (11, 0)}
+    assert got[1, 0].distance == 0 and got[1, 0].first_word == 80 and got[1, 0].last_word == 91
+    assert 0 < got[3, 2].distance <= 6 and got[8, 1].similarity == 1
+    kept = without_items(docs, bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 10] and kept.columns == docs.columns
+    assert find_items(docs, bench.limit(0)).collect() == [] and without_items(docs, bench.limit(0)).count() == len(rows)
+    assert find_items(docs.limit(0), bench).collect() == []
+
+
+def test_words_are_bare_and_lower():
+    assert words_of(' "Hello," — (World)! ... it\'s ') == ["hello", "world", "it's"]

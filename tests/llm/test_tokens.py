@@ -1,0 +1,204 @@
+"""Token ids and counts against the libraries, and the operators built on them."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from terracelake.llm.packing import best_plan, pack, places, TRIALS
+from terracelake.llm.token_counts import MergeCounter, count_tokens
+from terracelake.llm.token_files import (
+    Reader, Writer, from_planes, new_folder, read_token_files, to_planes, write_token_files)
+from terracelake.llm.tokens import ByteIds, WordIds, packed
+
+WORD, BYTE, PIECE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
+ODD = ["", " ", "  ", " a", "a ", "a  b", "a \nb", "a\n b", "a\n\nb", "\n", "it's Don't o'clock 12 x3y", "ΟΔΟΣ", "İx",
+       "é x", "<|endoftext|> x<|startoftext|>y", "a\tb", "a \t b", "x\x1cy z", "a b", "漢字 ½ ²", "a...b ... !? ?!x",
+       "a 's 't", "</s><s> ▁a", "naïve… “q”", "x" * 3000, "ab " * 2000, "\x00"]
+TEXT = st.text(st.sampled_from("aabBeé .\n\t'1!Σs▁<|>漢\x1c̈½"), max_size=24)
+
+
+@pytest.fixture(scope="module")
+def word():
+    return WordIds(WORD), Tokenizer.from_file(WORD)
+
+
+@pytest.fixture(scope="module")
+def byte():
+    return ByteIds(BYTE), Tokenizer.from_file(BYTE)
+
+
+@pytest.fixture(scope="module")
+def piece():
+    return MergeCounter(PIECE), sentencepiece.SentencePieceProcessor(model_file=PIECE)
+
+
+def same_ids(pair, text):
+    ours, library = pair
+    assert ours(text) == packed(library.encode(text, add_special_tokens=False).ids), text
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts(word, byte, piece, text):
+    same_ids(word, text)
+    same_ids(byte, text)
+    assert piece[0](text) == len(piece[1].encode(text))
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT)
+def test_random_texts(word, byte, piece, text):
+    same_ids(word, text)
+    same_ids(byte, text)
+    assert piece[0](text) == len(piece[1].encode(text))
+
+
+def test_real_texts_with_small_memory(word, byte, piece, monkeypatch, spark):
+    from terracelake.llm import token_counts, tokens
+    for module, name in ((tokens, "CHUNKS"), (tokens, "WORDS"), (token_counts, "REMEMBERED")):
+        monkeypatch.setattr(module, name, 50)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in texts[:60]:
+        same_ids(word, text)
+        same_ids(byte, text)
+        assert piece[0](text) == len(piece[1].encode(text))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(1, "one two", "x"), (2, None, "x"), (3, "", None), (None, "lost", "x"), (5, "word " * 9000, "x"),
+            (7, "twice", "x"), (7, "twice", "x"), (9, "é ½\n\nz", "x")]
+    # Columns whose names the operators use themselves must do no harm.
+    return spark.createDataFrame(rows, "doc_id long, text string, piece string").withColumns(
+        {c: F.lit("own") for c in ("part", "nth", "length", "rank", "tie", "n_tokens", "ids", "start")})
+
+
+def test_counts(docs, piece):
+    got = count_tokens(docs, PIECE, limit=100).collect()
+    want = [(r.doc_id, len((r.text or "").encode()), len(piece[1].encode(r.text or ""))) for r in docs.collect()]
+    assert sorted(map(repr, ((r.doc_id, r.n_bytes, r.n_tokens) for r in got))) == sorted(map(repr, want))
+    assert {r.doc_id for r in got if r.over_limit} == {5}
+    assert count_tokens(docs.limit(0), PIECE).collect() == []
+
+
+def pack_rows(docs, **options):
+    return pack(docs, WORD, **options).collect()
+
+
+def test_pack(docs, word):
+    rows = pack_rows(docs, capacity=64, with_ids=True)
+    pieces = {}
+    for r in rows:
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length and 0 < r.length <= 64
+        pieces.setdefault((r.doc_id, r.piece), []).append(r)
+    whole = packed(word[1].encode("word " * 9000, add_special_tokens=False).ids + [1])
+    own = sorted((r for r in rows if r.doc_id == 5), key=lambda r: r.piece)
+    assert b"".join(r.ids for r in own) == whole and [r.start for r in own] == list(range(0, len(whole) // 4, 64))
+    assert len(pieces[7, 0]) == 2 and [r.length for r in rows if r.doc_id in (2, 3)] == [1, 1]
+    assert_gapless(rows, 64)
+    assert pack_rows(docs.limit(0)) == []
+
+
+def assert_gapless(rows, capacity):
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_pack_all_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5)
+    rows = pack_rows(docs)
+    total = sum(r.length for r in rows)
+    assert assert_gapless(rows, 4096) <= 1.02 * -(-total // 4096) + 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 128), st.integers(1, 40), max_size=60))
+def test_plan_places_every_piece_once(histogram):
+    runs = best_plan(histogram, 128, TRIALS)
+    rooms = []
+    for run in runs:
+        items, held = run.items, 0
+        while items is not None:
+            (length, many), items = items
+            held += length * many
+        assert held + run.room == 128 and run.room >= 0 and run.count > 0
+        rooms.append(held)
+    table = places(runs)
+    counts = {}
+    for length, first, _, _, _ in table.tolist():
+        counts.setdefault(length, []).append(first)
+    assert set(counts) == set(histogram) and all(0 in firsts for firsts in counts.values())
+    held = {}
+    for run in runs:
+        items = run.items
+        while items is not None:
+            (length, many), items = items
+            held[length] = held.get(length, 0) + many * run.count
+    assert held == histogram
+    bound = max(-(-sum(n * k for n, k in histogram.items()) // 128), sum(k for n, k in histogram.items() if n > 64))
+    assert sum(r.count for r in runs) <= 1.7 * bound + 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 65535), min_size=1, max_size=300), st.booleans())
+def test_planes_round_trip(ids, bits):
+    ids = np.array(ids, "<u4")
+    planes = to_planes(ids, 2, bits)
+    assert len(planes) == (16 if bits else 2) and (from_planes(planes, len(ids), 2) == ids).all()
+
+
+@pytest.mark.parametrize("bits", [False, True])
+def test_file_round_trip(tmp_path, bits):
+    import pyarrow.fs as fs
+    random = np.random.default_rng(3)
+    docs = [(i if i % 5 else None, random.integers(0, 50257, n).astype("<u4").tobytes())
+            for i, n in enumerate([0, 1, 7, 8, 9, 1000, 0, 3])]
+    local = fs.LocalFileSystem()
+    with local.open_output_stream(str(tmp_path / "f")) as stream:
+        writer = Writer(stream, 8, 2, bits, 3)
+        for doc_id, ids in docs:
+            writer.add(doc_id, ids)
+        size = writer.close()
+    assert size == (tmp_path / "f").stat().st_size
+    with local.open_input_file(str(tmp_path / "f")) as stream:
+        reader = Reader(stream)
+        assert [(d, ids) for d, _, ids in reader.documents()] == docs
+        every = np.frombuffer(b"".join(ids for _, ids in docs), "<u4")
+        assert (reader.read(3) == every[24:32]).all()
+    data = bytearray((tmp_path / "f").read_bytes())
+    data[-70] ^= 1
+    (tmp_path / "g").write_bytes(data)
+    with local.open_input_file(str(tmp_path / "g")) as stream, pytest.raises(ValueError):
+        Reader(stream)
+
+
+@pytest.mark.parametrize("bits", [False, True])
+def test_token_files(spark, docs, byte, bits):
+    folder = new_folder(spark)
+    manifest = write_token_files(docs.repartition(3), folder, BYTE, bits=bits, block=16)
+    rows = sorted(read_token_files(manifest, folder).collect(), key=lambda r: r.start)
+    ids = {r.doc_id: packed([*byte[1].encode(r.text or "", add_special_tokens=False).ids, 0]) for r in docs.collect()}
+    assert [r.doc_id for r in rows] == [None, 1, 2, 3, 5, 7, 7, 9]
+    at = 0
+    for r in rows:
+        assert r.start == at and bytes(r.ids) == ids[r.doc_id]
+        at += len(r.ids) // 4
+    assert manifest.agg(F.sum("n_ids")).first()[0] == at
+    nothing = new_folder(spark)
+    assert read_token_files(write_token_files(docs.limit(0), nothing, BYTE), nothing).collect() == []
