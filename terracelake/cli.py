@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terracelake import config
 from terracelake.config import Locations, MovieChoices, RatingBuckets, TopVolatility
 from terracelake.plans import convert, item_sales, movie_choices, rating_buckets, top_volatility
-from terracelake.session import get_session
+from terracelake.session import clear_scratch, get_session
 from terracelake.sinks import publish
 from terracelake.sources import read_parquet, read_table, register_tables, use_database
 
@@ -26,7 +26,7 @@ def _input(spark: SparkSession, args: argparse.Namespace, at: Locations,
 
 def run_item_sales(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
     sales = _input(spark, args, at, config.BAKERY_DIR, config.BAKERY_TABLE)
-    publish(item_sales.build(sales), at.path("gold", config.ITEM_SALES_DIR), item_sales.order())
+    publish(item_sales.build(sales), at.path("gold", config.ITEM_SALES_DIR), item_sales.order(), not args.parts)
 
 
 def run_movie_choices(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
@@ -35,7 +35,7 @@ def run_movie_choices(spark: SparkSession, args: argparse.Namespace, at: Locatio
         for table in ("movies_metadata", "ratings", "keywords", "credits"))
     params = MovieChoices(tuple(args.keyword), tuple(args.cast), args.buckets)
     publish(movie_choices.build(movies, ratings, keywords, cast, params),
-            at.path("gold", config.MOVIE_CHOICES_DIR), movie_choices.order())
+            at.path("gold", config.MOVIE_CHOICES_DIR), movie_choices.order(), not args.parts)
 
 
 def run_rating_buckets(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
@@ -43,14 +43,14 @@ def run_rating_buckets(spark: SparkSession, args: argparse.Namespace, at: Locati
                        for table in ("movies_metadata", "ratings_small"))
     params = RatingBuckets(args.start, args.end, args.buckets)
     publish(rating_buckets.build(movies, ratings, params),
-            at.path("gold", config.RATING_BUCKETS_DIR), rating_buckets.order())
+            at.path("gold", config.RATING_BUCKETS_DIR), rating_buckets.order(), not args.parts)
 
 
 def run_top_volatility(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
     stocks = _input(spark, args, at, config.STOCK_DIR, "stocks")
     params = TopVolatility(tuple(args.symbol), args.start, args.end, args.rows, args.numeric_order)
-    # The top rows are one partition and so one file, which keeps their order.
-    publish(top_volatility.build(stocks, params), at.path("gold", config.TOP_VOLATILITY_DIR))
+    publish(top_volatility.build(stocks, params, keep_value=True), at.path("gold", config.TOP_VOLATILITY_DIR),
+            top_volatility.order(params), not args.parts, [top_volatility.VALUE])
 
 
 def run_convert_bakery(spark: SparkSession, args: argparse.Namespace, at: Locations) -> None:
@@ -76,7 +76,7 @@ def run_register(spark: SparkSession, args: argparse.Namespace, at: Locations) -
     prefix = config.RAW_PREFIX if raw else config.PROCESSED_PREFIX
     for name in register_tables(spark, at.path(args.layer), args.database, prefix,
                                 source="csv" if raw else "parquet",
-                                merge_schema=not args.same_schema,
+                                merge_schema=not args.same_schema, move=args.move,
                                 one_per_file=(config.MOVIE_DIR,) if raw else ()):
         print(name)
 
@@ -91,6 +91,8 @@ def parser() -> argparse.ArgumentParser:
         for layer in layers:
             sub.add_argument(f"--{layer}", help=f"{layer} location; default: spark.terracelake.{layer}")
         sub.add_argument("--database", required=database, help="catalog database")
+        if "gold" in layers:
+            sub.add_argument("--parts", action="store_true", help="write the text as ordered part files, not as one file")
         sub.add_argument("--hive", action="store_true", help="use the Hive-compatible metastore")
         return sub
 
@@ -134,11 +136,17 @@ def parser() -> argparse.ArgumentParser:
     register.add_argument("--layer", choices=("bronze", "silver"), default="silver")
     register.add_argument("--same-schema", action="store_true",
                           help="all files of a folder have the same columns")
+    register.add_argument("--move", action="store_true", help="let tables that lie elsewhere follow the data")
     return top
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
+    own = spark is None
     spark = spark or get_session(args.job, hive=args.hive)
     layers = {layer: getattr(args, layer, None) for layer in ("bronze", "silver", "gold")}
-    args.run(spark, args, Locations.from_session(spark, **layers))
+    try:
+        args.run(spark, args, Locations.from_session(spark, **layers))
+    finally:
+        if own:
+            clear_scratch(spark)

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracelake.session import settle
-
-# Up to here one task sorts the rows faster than a range shuffle starts.
-SINGLE_TASK_ROWS = 200_000
+from terracelake.session import stored
 
 # monotonically_increasing_id() holds the partition above these bits and the
 # row's place within the partition below them.
@@ -19,36 +16,29 @@ PLACE_MASK = (1 << PLACE_BITS) - 1
 
 
 def ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], alias: str = "rank",
-          single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+          divide_ties: bool = False) -> DataFrame:
     """Adds the bucket number 1..``buckets`` of each row in the given order.
 
-    ``df`` is computed once and counted. A window without a partition key puts
-    every row into one task, so it is used for a small ``df`` only.
-    """
-    settled = settle(df)
-    if settled.count() <= single_task_rows:
-        return settled.withColumn(alias, F.ntile(buckets).over(Window.orderBy(*order_by)))
-    return _by_range(settled, buckets, order_by, alias)
-
+    A window without a partition key would put every row into one task. Here rows are dealt
+    into ranges of the order, sorted and stored once; a row's place is its place in its
+    range plus the rows of the ranges before.
 
-def ntile_by_range(df: DataFrame, buckets: int, order_by: Sequence[Column],
-                   alias: str = "rank") -> DataFrame:
-    """The same numbers from range partitions, whatever the size of ``df``."""
-    return _by_range(settle(df), buckets, order_by, alias)
-
-
-def _by_range(settled: DataFrame, buckets: int, order_by: Sequence[Column],
-              alias: str) -> DataFrame:
-    # The last key makes each row's place unique: rows that tie on the order,
-    # however many, can then be divided between ranges. It is stable because the
-    # input is settled.
-    order = [*order_by, F.col("_tie")]
-    ranged = settle(
-        settled.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order)
+    Rows that tie on the order get places next to each other in any order, and lie in one
+    range. Where many may tie, ``divide_ties`` deals them to several ranges, ordered by a hash
+    of all columns; ``df`` should then be a stored table, so that equal rows are told
+    apart in the same way if a task runs again.
+    """
+    order = list(order_by)
+    if divide_ties:
+        hashed = [c for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+        df = df.withColumns({"_hash": F.xxhash64(*hashed), "_row": F.monotonically_increasing_id()})
+        order += [F.col("_hash"), F.col("_row")]
+    ranged = stored(
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("_tie")
-        .withColumn("_slot", F.monotonically_increasing_id())
+        .drop("_hash", "_row")
+        .withColumn("_slot", F.monotonically_increasing_id()),
+        "ranges",
     ).withColumn("_range", F.shiftright("_slot", PLACE_BITS))
 
     # One row per range, so at most spark.sql.shuffle.partitions rows: small

@@ -10,36 +10,18 @@ from pyspark.sql import functions as F
 
 from terracelake.functions import bigint_or_null
 from terracelake.operators.unions import union_all
-from terracelake.session import settle
+from terracelake.session import stored
 
-# Rows of at most five numbers each, so about a hundred megabytes as a hash table.
-BROADCAST_ROWS = 1_000_000
 
-
-def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Counts ``df``: is it small enough to send to every executor?"""
-    return df.count() <= limit
-
-
-def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner",
-                   few: bool | None = None) -> DataFrame:
+def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join of ``many`` to ``one``, which has one narrow row per key.
 
-    If ``one`` has few rows it is broadcast, and ``many`` is not shuffled. ``few`` says
-    so where the caller knows; otherwise both sides are counted, and nothing special
-    is done if all of ``many`` (best a stored table) is small enough for one task. A
-    large ``one`` is settled: adaptive execution then finds a plain shuffle on both
-    sides of the join and can split a partition that a hot key has made large. It
-    cannot do so where one side is the output of an aggregate.
+    ``one`` is stored first. Spark then knows its true size and broadcasts it if that is under
+    its threshold. Otherwise the join has a plain shuffle on both sides, and adaptive
+    execution can split a partition that a hot key has made large; it cannot do so
+    where one side is the output of an aggregate.
     """
-    if few is None:
-        if few_rows(many):
-            return many.join(one, key, how)
-        one = settle(one)
-        few = few_rows(one)
-    elif not few:
-        one = settle(one)
-    return many.join(F.broadcast(one) if few else one, key, how)
+    return many.join(stored(one, "unique"), key, how)
 
 
 def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -47,8 +29,9 @@ def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     """Equi-join of a key that may be text with an integer key.
 
     Text that is not a number matches nothing, and raises nothing. An inner join
-    drops it before the shuffle; in a left join adaptive execution splits the
-    partition in which the null keys meet.
+    drops it before the shuffle. In a left join the null keys meet in one partition, which
+    adaptive execution splits; it can't where the next step groups by the cast key itself,
+    since that needs the join's partitioning, so group by the text key there.
     """
     key = bigint_or_null(left[left_key])
     if how == "inner":
@@ -56,15 +39,15 @@ def safe_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(right, key == right[right_key], how)
 
 
-def fanout_counts(base: DataFrame, key: str, few: bool | None = None,
-                  **sides: tuple[DataFrame, str]) -> DataFrame:
+def fanout_counts(base: DataFrame, key: str, **sides: tuple[DataFrame, str]) -> DataFrame:
     """How many rows ``base`` has after left joins to all ``sides`` on one key.
 
     The rows of each side ``name=(df, column)`` are counted per key, all sides in one
     shuffle, and the counts are multiplied: the joined rows are never built. Adds
     ``<name>_rows`` (0 where there is no match) and ``joined_rows`` to ``base``.
-    ``few`` says whether the sides have few keys, where that is known.
     """
+    if not sides:
+        raise ValueError("fanout_counts needs at least one side")
     names = [f"{name}_rows" for name in sides]
     keys = [
         side.filter(F.col(column).isNotNull()).select(
@@ -72,6 +55,6 @@ def fanout_counts(base: DataFrame, key: str, few: bool | None = None,
         for own, (side, column) in zip(names, sides.values())
     ]
     counted = union_all(keys).groupBy(key).agg(*(F.sum(name).alias(name) for name in names))
-    joined = join_to_unique(base, counted, key, "left", few).fillna(0, names)
+    joined = join_to_unique(base, counted, key, "left").fillna(0, names)
     return joined.withColumn(
         "joined_rows", reduce(mul, (F.greatest(F.col(name), F.lit(1)) for name in names)))

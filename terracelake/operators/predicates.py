@@ -14,7 +14,7 @@ from terracelake.functions import first_second, last_second
 
 
 def contains_any(column: str, words: Sequence[str]) -> Column:
-    """Case-insensitive: the text holds at least one of the words.
+    """Case-insensitive: the text holds at least one of the words; no text does if there are none.
 
     Written as a plain OR, long texts would be lower-cased again for every word that
     is not found. Here it is done once per row; for three words in long texts this
@@ -23,11 +23,15 @@ def contains_any(column: str, words: Sequence[str]) -> Column:
     def holds_one(text: Column) -> Column:
         return reduce(or_, (text.contains(word.lower()) for word in words))
 
+    if not words:
+        return F.lit(False)
     return F.exists(F.array(F.lower(F.col(column))), holds_one)
 
 
 def not_like_any(column: str, patterns: Sequence[str]) -> Column:
-    """None of the LIKE patterns fits. Null is rejected, as by ``NOT LIKE``."""
+    """None of the LIKE patterns fits. Null is rejected, as by ``NOT LIKE``, if there are any."""
+    if not patterns:
+        return F.lit(True)
     return reduce(and_, (~F.col(column).like(pattern) for pattern in patterns))
 
 

@@ -13,4 +13,7 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
     For many files of one shape prefer ``sources.read_tagged_csv``: one scan.
     """
+    frames = list(frames)
+    if not frames:
+        raise ValueError("union_all needs at least one DataFrame")
     return reduce(DataFrame.union, frames)

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from terracelake.config import MovieChoices
 from terracelake.functions import bigint_or_null, date_or_null, rounded_mean
-from terracelake.operators import contains_any, few_rows, join_to_unique, ntile
-from terracelake.session import settle
+from terracelake.operators import contains_any, ntile
 
 
 def order() -> list[Column]:
@@ -25,9 +24,7 @@ def build(movies: DataFrame, ratings: DataFrame, keywords: DataFrame, cast: Data
     pair of them. The pairs are not built: every input is first reduced to one row
     per film, and the counts are multiplied.
     """
-    matches = settle(matching_films(keywords, cast, params))
-    few = few_rows(matches)
-    picks = pick_totals(movies, film_scores(ratings, matches, few), few)
+    picks = pick_totals(movies, film_scores(ratings, matching_films(keywords, cast, params)))
     ranked = ntile(picks, params.buckets,
                    [F.col("avg_rating").desc(), F.col("title"), F.col("release_date"),
                     F.col("popularity")])
@@ -49,29 +46,22 @@ def matching_films(keywords: DataFrame, cast: DataFrame, params: MovieChoices) -
         "id", (F.col("keyword_rows") * F.col("cast_rows")).alias("copies"))
 
 
-def film_scores(ratings: DataFrame, matches: DataFrame, few: bool) -> DataFrame:
+def film_scores(ratings: DataFrame, matches: DataFrame) -> DataFrame:
     """id, copies, rating_rows, rated, rating_sum: one row per matching rated film.
 
-    Few matches are broadcast, so that other films' ratings end in the scan. Either way
-    it is totals per film that are shuffled, not ratings.
+    It is totals per film that are shuffled and joined, not ratings.
     """
     totals = [F.count(F.lit(1)).alias("rating_rows"), F.count("rating").alias("rated"),
               F.sum("rating").alias("rating_sum")]
-    ratings = ratings.withColumnRenamed("movieid", "id")
-    if few:
-        return ratings.join(F.broadcast(matches), "id").groupBy("id", "copies").agg(*totals)
-    return matches.join(ratings.groupBy("id").agg(*totals), "id")
+    return matches.join(ratings.groupBy(F.col("movieid").alias("id")).agg(*totals), "id")
 
 
-def pick_totals(movies: DataFrame, scores: DataFrame, few: bool) -> DataFrame:
-    """title, release_date, popularity, ratings_count, avg_rating: one row per pick.
-
-    Scores are at most as many as matches.
-    """
+def pick_totals(movies: DataFrame, scores: DataFrame) -> DataFrame:
+    """title, release_date, popularity, ratings_count, avg_rating: one row per pick."""
     films = movies.select(bigint_or_null("id").alias("id"), "title", "release_date", "popularity")
     copies = F.col("copies")
     return (
-        join_to_unique(films.filter(F.col("id").isNotNull()), scores, "id", few=few)
+        films.filter(F.col("id").isNotNull()).join(scores, "id")
         .groupBy("title", "release_date", "popularity")
         .agg(
             F.sum(F.col("rating_rows") * copies).alias("ratings_count"),

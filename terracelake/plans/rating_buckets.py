@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terracelake.config import RatingBuckets
 from terracelake.functions import bigint_or_null, double_or_null, rounded_mean
-from terracelake.operators import epoch_between, few_rows, join_to_unique, ntile
+from terracelake.operators import epoch_between, ntile
 
 
 def order() -> list[Column]:
@@ -21,18 +21,15 @@ def build(movies: DataFrame, ratings: DataFrame,
     Ratings of unknown films and films without ratings in the range play no part.
     """
     return ntile(
-        rating_totals(movies, ratings, params, few_rows(movies)),
-        params.buckets, [F.col("avg_rating").desc()],
+        rating_totals(movies, ratings, params), params.buckets, [F.col("avg_rating").desc()],
     ).select("rank", "avg_rating", "ratings_count", "popularity")
 
 
-def rating_totals(movies: DataFrame, ratings: DataFrame, params: RatingBuckets,
-                  few_movies: bool) -> DataFrame:
+def rating_totals(movies: DataFrame, ratings: DataFrame, params: RatingBuckets) -> DataFrame:
     """avg_rating, ratings_count, popularity: one row per rating value.
 
-    Films are reduced to one row of numbers per id. If they are few, they are
-    broadcast and the ratings are grouped where they are read. If they are many, the
-    ratings are counted per film and value before they are shuffled.
+    Films are reduced to one row of numbers per id, and ratings are counted per film and
+    value, before they are shuffled.
     """
     popularity = double_or_null("popularity")
     films = (
@@ -44,14 +41,11 @@ def rating_totals(movies: DataFrame, ratings: DataFrame, params: RatingBuckets,
     given = ratings.filter(
         F.col("rating").isNotNull() & F.col("movieid").isNotNull()
         & epoch_between("timestamp", params.start, params.end))
-    if few_movies:
-        given = given.select("movieid", "rating", F.lit(1).alias("times"))
-    else:
-        given = given.groupBy("movieid", "rating").agg(F.count(F.lit(1)).alias("times"))
+    given = given.groupBy("movieid", "rating").agg(F.count(F.lit(1)).alias("times"))
     times = F.col("times")
     # All ratings of a group are equal, so the group's mean is its key.
     return (
-        join_to_unique(given, films, "movieid", few=few_movies)
+        given.join(films, "movieid")
         .groupBy(F.col("rating").cast("double").alias("avg_rating"))
         .agg(
             F.sum(times * F.col("films")).alias("ratings_count"),

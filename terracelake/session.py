@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A side of a join is broadcast up to this size: of its files times the factor, which
+    # stands for what Parquet saves, or of its rows where adaptive execution has seen them.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -54,22 +61,41 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="terracelake-")
+        named = _local_dir()
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+@cache
+def _local_dir() -> str:
+    """One folder for the life of this process, whose sessions are local."""
+    path = tempfile.mkdtemp(prefix="terracelake-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch(spark)}/{uuid.uuid4().hex}/{name}"
+
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}"
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage and cut its lineage.
 
-    Later steps read the same rows however often they run, also after executors
-    are lost.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Computes ``df`` once, into Parquet in the shared folder.
+
+    Later steps read the same rows however often they run, also after executors are lost;
+    they read only the columns they need, and Spark knows the true size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this application has stored on the way; DataFrames that read it end here."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

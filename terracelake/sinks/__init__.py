@@ -1,7 +1,5 @@
 """Writers for processed tables and for published results."""
 
-from terracelake.sinks.files import (
-    SINGLE_FILE_ROWS, publish, write_csv, write_parquet, write_partitioned,
-)
+from terracelake.sinks.files import publish, write_csv, write_parquet, write_partitioned
 
-__all__ = ["SINGLE_FILE_ROWS", "publish", "write_csv", "write_parquet", "write_partitioned"]
+__all__ = ["publish", "write_csv", "write_parquet", "write_partitioned"]

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-# What a spreadsheet holds, less the header row.
-SINGLE_FILE_ROWS = 1_048_575
+from terracelake.session import stored
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -31,29 +30,32 @@ def write_partitioned(df: DataFrame, path: str, *keys: str, keep_others: bool =
      .partitionBy(*keys).parquet(path))
 
 
-def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = (),
-              single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_file: bool = True,
+              hidden: Sequence[str] = ()) -> None:
     """Pipe-delimited text with a header, in the given order.
 
-    One file where a spreadsheet could open it. A larger result is not forced
-    through one task: its files, in the order of their names, hold the rows in
-    order. ``df`` is counted first, so it should be a stored table.
+    One file, written by one task, as readers of a published result expect; what it holds
+    has to fit one file's reader. ``single_file=False`` writes any number of files in
+    parallel, which hold the rows in order of the files' names. ``hidden`` columns are
+    there to sort by and are not written.
     """
-    if df.count() <= single_file_rows:
+    if not single_file:
+        df = df.orderBy(*order_by) if order_by else df
+    else:
         df = df.coalesce(1)
-        if order_by:
-            df = df.sortWithinPartitions(*order_by)
-    elif order_by:
-        df = df.orderBy(*order_by)
-    df.write.mode("overwrite").option("header", True).option("sep", "|").csv(path)
+        df = df.sortWithinPartitions(*order_by) if order_by else df
+    df.drop(*hidden).write.mode("overwrite").option("header", True).option("sep", "|").csv(path)
 
 
-def publish(df: DataFrame, path: str, order_by: Sequence[Column] = (),
-            single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+def publish(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_file: bool = True,
+            hidden: Sequence[str] = ()) -> None:
     """Stores a result under ``path`` twice: as ``parquet/`` and as ``csv/``.
 
-    The query runs once; the text is made from the stored Parquet.
+    The query runs once; the text is made from stored rows. ``hidden`` columns only order
+    the text.
     """
-    write_parquet(df, f"{path}/parquet")
-    stored = df.sparkSession.read.parquet(f"{path}/parquet")
-    write_csv(stored, f"{path}/csv", order_by, single_file_rows)
+    rows = stored(df, "published") if hidden else df
+    write_parquet(rows.drop(*hidden), f"{path}/parquet")
+    if not hidden:
+        rows = df.sparkSession.read.parquet(f"{path}/parquet")
+    write_csv(rows, f"{path}/csv", order_by, single_file, hidden)

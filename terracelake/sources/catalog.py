@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 import re
+import uuid
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructField
+from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
 
@@ -24,38 +25,35 @@ def read_table(spark: SparkSession, name: str, alias: str | None = None) -> Data
 
 
 def table_folders(spark: SparkSession, root: str,
-                  one_per_file: Collection[str] = ()) -> dict[str, str]:
+                  one_per_file: Collection[str] = ()) -> list[tuple[str, str]]:
     """Name and path of each folder under ``root`` that holds data.
 
-    A folder is a table when it has data files or ``key=value`` folders; other
-    folders are searched further down. The name is the last part of the path.
-    In a folder named in ``one_per_file`` every file is a table of its own.
+    A folder is a table when it has data files or ``key=value`` folders. All other folders are
+    searched further down, also those beside data files. The name is the last part of the
+    path. In a folder named in ``one_per_file`` every file is a table of its own.
     """
     top = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[str, str] = {}
+    found: list[tuple[str, str]] = []
     waiting = [top]
     while waiting:
         folder = waiting.pop()
         entries = [e for e in files.listStatus(folder)
                    if not e.getPath().getName().startswith(("_", "."))]
         inner = [e.getPath() for e in entries if e.isDirectory()]
-        if len(inner) < len(entries) or any("=" in p.getName() for p in inner):
+        plain = [p for p in inner if "=" not in p.getName()]
+        if len(plain) < len(entries):
             tables = [folder]
             if folder.getName() in one_per_file:
                 tables = [e.getPath() for e in entries if e.isFile()]
-            for table in tables:
-                name, path = table.getName().split(".")[0], table.toString()
-                if found.setdefault(name, path) != path:
-                    raise ValueError(f"two tables are named {name}: {found[name]} and {path}")
-        else:
-            waiting.extend(inner)
-    return dict(sorted(found.items()))
+            found += [(table.getName().split(".")[0], table.toString()) for table in tables]
+        waiting += plain
+    return sorted(found)
 
 
 def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
                     source: str = "parquet", merge_schema: bool = True,
-                    one_per_file: Collection[str] = ()) -> list[str]:
+                    one_per_file: Collection[str] = (), move: bool = False) -> list[str]:
     """Makes each data folder under ``root`` the external table ``<prefix><folder>``,
     in lower case and with ``_`` for characters that a table name cannot have.
 
@@ -64,51 +62,91 @@ def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
     logged and stay registered. ``merge_schema`` looks at every Parquet footer
     for new columns, in a distributed job; leave it off where the files of a
     folder are known to agree.
+
+    Two folders with the same table name, a managed table of that name, and a table that lies
+    elsewhere are errors; with ``move`` the last follows the data. An error leaves that
+    table as it was and the others are registered. All errors are raised together at the end.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     options = CSV_OPTIONS if source == "csv" else {"mergeSchema": str(merge_schema).lower()}
-    folders = table_folders(spark, root, one_per_file)
-    names = {folder: re.sub(r"[^0-9a-z_]", "_", f"{prefix}{folder}".lower()) for folder in folders}
-    for folder, path in folders.items():
-        name = f"`{database}`.`{names[folder]}`"
-        if spark.catalog.tableExists(name):
-            _update_table(spark, name, path, source, options)
-        else:
-            spark.catalog.createTable(name, path=path, source=source, schema=None, **options)
-        if _partition_columns(spark, name):
-            spark.catalog.recoverPartitions(name)
+    paths: dict[str, list[str]] = {}
+    for folder, path in table_folders(spark, root, one_per_file):
+        paths.setdefault(re.sub(r"[^0-9a-z_]", "_", f"{prefix}{folder}".lower()), []).append(path)
+    done, errors = [], []
+    for table, own in paths.items():
+        try:
+            if len(own) > 1:
+                raise ValueError(f"several folders have this name: {', '.join(own)}")
+            _register(spark, database, table, own[0], source, options, move)
+            done.append(f"{database}.{table}")
+        except Exception as error:  # noqa: BLE001  (the other folders are registered all the same)
+            errors.append(f"{database}.{table}: {error}")
     for table in spark.catalog.listTables(database):
-        if table.name.startswith(prefix) and table.name not in names.values() and not table.isTemporary:
+        if table.name.startswith(prefix) and table.name not in paths and not table.isTemporary:
             log.warning("no data folder found for table %s.%s; it is kept", database, table.name)
-    return [f"{database}.{name}" for name in names.values()]
-
-
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
-
-
-def _update_table(spark: SparkSession, name: str, path: str, source: str,
-                  options: dict[str, str]) -> None:
-    known = spark.table(name).schema
-    seen = spark.read.format(source).options(**options).load(path).schema
-    gone = [f for f in known if f.name not in seen.names]
+    if errors:
+        raise RuntimeError(f"{len(done)} tables are registered, {len(errors)} are not:\n" + "\n".join(errors))
+    return done
+
+
+def _register(spark: SparkSession, database: str, table: str, path: str, source: str,
+              options: dict[str, str], move: bool) -> None:
+    name = f"`{database}`.`{table}`"
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source=source, schema=None, **options)
+    else:
+        kind, place = _kind_and_place(spark, name)
+        if kind != "EXTERNAL":
+            raise ValueError(f"it is a {kind.lower()} table, which is not for this job to change")
+        if place != _qualified(spark, path):
+            if not move:
+                raise ValueError(f"it lies at {place}, not at {path}")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{_escaped(path)}'")
+            spark.catalog.refreshTable(name)
+        _update_columns(spark, database, table, path, source, options)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
+def _kind_and_place(spark: SparkSession, name: str) -> tuple[str, str]:
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return rows["Type"], _qualified(spark, rows["Location"])
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that two spellings of a place are equal."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def _escaped(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _update_columns(spark: SparkSession, database: str, table: str, path: str, source: str,
+                    options: dict[str, str]) -> None:
+    name = f"`{database}`.`{table}`"
+    same = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    known = {same(f.name): f for f in spark.table(name).schema}
+    seen = {same(f.name): f for f in spark.read.format(source).options(**options).load(path).schema}
+    gone = [f for key, f in known.items() if key not in seen]
     if gone:
         log.warning("no file of table %s has the columns %s; they are kept", name, [f.name for f in gone])
-    added = [f for f in seen if f.name not in known.names]
-    changed = [f for f in known if f.name in seen.names and seen[f.name].dataType != f.dataType]
-    if changed:
-        # The table is external, so dropping it leaves the files alone.
-        keys = _partition_columns(spark, name)
-        fields = sorted([*seen, *gone], key=lambda f: f.name in keys)
-        settings = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
-        partitioned = f"PARTITIONED BY ({', '.join(f'`{key}`' for key in keys)})" if keys else ""
-        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"CREATE TABLE {name} ({_columns(fields)}) USING {source} OPTIONS ({settings}) "
-                  f"{partitioned} LOCATION '{escaped}'")
+    added = [f for key, f in seen.items() if key not in known]
+    if any(key in seen and seen[key].dataType != f.dataType for key, f in known.items()):
+        # The new table is whole before the old one's name goes to it. Both are external, so
+        # neither name holds the files.
+        fresh, old = (f"`{database}`.`{table}_{word}_{uuid.uuid4().hex[:8]}`" for word in ("new", "old"))
+        try:
+            spark.catalog.createTable(fresh, path=path, source=source, schema=None, **options)
+            if gone:
+                spark.sql(f"ALTER TABLE {fresh} ADD COLUMNS ({StructType(gone).toDDL()})")
+            spark.table(fresh).limit(0).collect()
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            raise
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {old}")
     elif added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
-
-
-def _columns(fields: list[StructField]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({StructType(added).toDDL()})")

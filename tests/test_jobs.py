@@ -7,9 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracelake.config import MovieChoices, RatingBuckets, TopVolatility
-from terracelake.operators import ntile
 from terracelake.plans import item_sales, movie_choices, rating_buckets, top_volatility
-from terracelake.session import settle
+from terracelake.sinks import publish
 from tests import fixtures
 
 
@@ -73,15 +72,6 @@ def test_movie_choices_equals_the_plain_join(spark):
     assert got.count() == 3
 
 
-def test_movie_choices_many_matches_give_the_same_picks(spark):
-    movies, ratings, keywords, cast = choice_inputs(spark)
-    matches = settle(movie_choices.matching_films(keywords, cast, MovieChoices()))
-    few, many = (
-        movie_choices.pick_totals(movies, movie_choices.film_scores(ratings, matches, few), few)
-        for few in (True, False))
-    assert sorted(rows(few)) == sorted(rows(many)) != []
-
-
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_random_inputs_give_what_the_plain_joins_give(spark, seed):
     """Keys repeat on every side; halves keep all sums exact."""
@@ -132,14 +122,13 @@ def test_rating_buckets_includes_both_ends_of_the_range(spark):
     assert rows(got.orderBy("rank")) == [(1, 5.0, 1, 1.5), (2, 4.0, 1, 1.5), (3, 3.0, 1, None)]
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_rating_totals_weigh_duplicate_films(spark, few):
+def test_rating_totals_weigh_duplicate_films(spark):
     movies = spark.createDataFrame(
         [("1", "1.0"), ("1", "3.0"), ("2", "bad"), ("2", "5.0"), ("x", "9.0")], "id string, popularity string")
     ratings = spark.createDataFrame(
         [(1, 4.0, 1460000000)] * 3 + [(2, 4.0, 1460000000), (2, None, 1460000000), (3, 4.0, 1460000000)],
         "movieid bigint, rating double, timestamp bigint")
-    got = rating_buckets.rating_totals(movies, ratings, RatingBuckets(), few)
+    got = rating_buckets.rating_totals(movies, ratings, RatingBuckets())
     # 3 ratings times 2 films, 1 times 2; popularity (3*(1+3) + 5) / (3*2 + 1)
     assert rows(got) == [(4.0, 8, 2.43)]
 
@@ -168,10 +157,20 @@ def test_top_volatility_keeps_last_day_and_zero_close(spark):
         (date(2018, 12, 31), "MSFT", 0.0, "2.0000", "1.0000", None)]
 
 
-def test_large_results_take_the_range_path(spark):
-    """The same picks whether or not their number fits one task."""
-    picks = fixtures.stocks(spark).select("symbol", "high")
-    order = [F.col("high").desc(), F.col("symbol")]
-    small = ntile(picks, 2, order)
-    large = ntile(picks, 2, order, single_task_rows=0)
-    assert sorted(rows(small)) == sorted(rows(large))
+@pytest.mark.parametrize("numeric", [False, True])
+@pytest.mark.parametrize("single", [False, True])
+def test_published_volatility_is_in_order(spark, tmp_path, numeric, single):
+    """Also where the stored rows lie in many files, and by a value that isn't published."""
+    params = TopVolatility(numeric_order=numeric, rows=400)
+    stocks = spark.range(400).select(
+        F.date_add(F.lit(date(2017, 1, 1)), (F.col("id") % 300).cast("int")).alias("date"),
+        F.when(F.col("id") % 2 == 0, "ibm").otherwise("aapl").alias("symbol"),
+        (10 + F.col("id") * 37 % 101 / 7).alias("high"), F.lit(9.0).alias("low"), F.lit(10.0).alias("close"))
+    built = top_volatility.build(stocks, params, keep_value=True)
+    want = [(r.date, r.symbol, r.intraday_volatility) for r in built.collect()]
+    publish(built.repartition(9), str(tmp_path), top_volatility.order(params), single, [top_volatility.VALUE])
+    files = sorted((tmp_path / "csv").glob("part-*.csv"))
+    lines = [line.split("|") for file in files for line in file.read_text().splitlines()[1:]]
+    assert [(d, s, v) for d, s, _, _, _, v in lines] == [(str(d), s, v) for d, s, v in want]
+    assert (len(files) == 1) or not single
+    assert spark.read.parquet(str(tmp_path / "parquet")).columns == [c for c in built.columns if c != top_volatility.VALUE]

@@ -6,6 +6,10 @@ import re
 from types import SimpleNamespace
 
 import pytest
+
+import workload.operators  # noqa: F401  (registers its queries)
+from tests.oracle import connect
+from workload.registry import ORACLE_SQL, QUERIES
 from pyspark.sql import functions as F
 
 from terracelake import operators as op
@@ -56,22 +60,18 @@ def test_volatility_dates_reach_the_time_column(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_few_matches_keep_ratings_and_films_from_being_shuffled(spark):
+def test_ratings_are_shuffled_as_totals_per_film(spark):
     inputs = jobs.choice_inputs(spark, FOLDER)
-    matches = session.settle(
-        movie_choices.matching_films(inputs["keywords"], inputs["cast"], jobs.CHOICES))
-    scores = movie_choices.film_scores(inputs["ratings"], matches, True)
-    plan = plan_of(movie_choices.pick_totals(inputs["movies"], scores, True))
-    assert plan.count("BroadcastHashJoin") == 2
-    # One shuffle of totals per film, one of totals per title.
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert len(re.findall(r"Exchange hashpartitioning.*\n.*HashAggregate\(.*partial_", plan)) == 2
+    matches = movie_choices.matching_films(inputs["keywords"], inputs["cast"], jobs.CHOICES)
+    scores = movie_choices.film_scores(inputs["ratings"], matches)
+    plan = plan_of(movie_choices.pick_totals(inputs["movies"], scores))
+    # Totals per film of three tables, and totals per title.
+    assert len(re.findall(r"Exchange hashpartitioning.*\n.*HashAggregate\(.*partial_", plan)) == 4
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_ratings_are_totalled_before_any_shuffle(spark, few):
-    totals = rating_buckets.rating_totals(**jobs.bucket_inputs(spark, FOLDER), params=jobs.BUCKETS, few_movies=few)
+def test_ratings_are_totalled_before_any_shuffle(spark):
+    totals = rating_buckets.rating_totals(**jobs.bucket_inputs(spark, FOLDER), params=jobs.BUCKETS)
     plan = plan_of(totals)
     for exchange in re.finditer(r"Exchange hashpartitioning\(.*\n.*", plan):
         assert "HashAggregate" in exchange.group() or "ExistingRDD" in exchange.group()
@@ -124,3 +124,38 @@ def test_shared_dir_is_the_one_the_cluster_names():
 def test_shared_dir_is_never_local_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(fake_session("yarn"))
+
+
+def test_hive_support_is_asked_for(monkeypatch):
+    """With a stand-in builder: whether a metastore answers is not checked here."""
+    asked = []
+
+    class Builder:
+        def __getattr__(self, name):
+            def call(*args):
+                asked.append((name, *args))
+                return "session" if name == "getOrCreate" else self
+            return call
+
+    monkeypatch.setattr(session, "SparkSession", SimpleNamespace(builder=Builder()))
+    assert session.get_session("t", hive=True) == "session" and ("enableHiveSupport",) in asked
+    asked.clear()
+    session.get_session("t")
+    assert ("enableHiveSupport",) not in asked
+
+
+ORDERED = ("item_sales", "movie_choices", "sort_mixed", "topk_text", "topk_numeric")
+
+
+@pytest.mark.parametrize("key", ORDERED)
+def test_rows_come_in_the_order_of_the_sql(spark, key):
+    ours = QUERIES[key](spark, FOLDER)
+    theirs = connect(FOLDER).sql(ORACLE_SQL[key]).to_arrow_table()
+    assert [tuple(r) for r in ours.select(*theirs.column_names).collect()] == list(zip(*(theirs.column(c).to_pylist() for c in theirs.column_names)))
+
+
+def test_scratch_is_cleared(spark):
+    one = session.stored(spark.range(3), "one")
+    assert one.count() == 3
+    path = session.scratch_path(spark, "two")
+    assert spark.sparkContext.applicationId in path

@@ -102,11 +102,11 @@ def test_single_csv_is_one_ordered_file(spark, tmp_path):
     assert [int(line.split("|")[0]) for line in lines[1:]] == list(range(999, -1, -1))
 
 
-def test_csv_above_the_limit_is_whole_and_ordered_by_file(spark, tmp_path):
+def test_csv_in_parts_is_whole_and_ordered_by_file(spark, tmp_path):
     df = spark.range(1000).repartition(7).select(F.col("id").alias("n"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sinks.write_csv(df, str(tmp_path), [F.col("n").asc()], single_file_rows=999)
+        sinks.write_csv(df, str(tmp_path), [F.col("n").asc()], single_file=False)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = part_files(tmp_path, ".csv")
@@ -273,6 +273,84 @@ def test_register_updates_changed_types_of_a_partitioned_table(spark, tmp_path,
         table.filter("symbol = 'ibm'")._jdf.queryExecution().executedPlan().toString())
 
 
+def register(spark, root, database, **options):
+    return sources.register_tables(spark, str(root), database, "p_", **options)
+
+
+def test_register_keeps_the_old_table_if_the_new_one_fails(spark, tmp_path, database, monkeypatch):
+    data = str(tmp_path / "silver/t")
+    spark.createDataFrame([((1,),)], "s struct<`a-b`:int>").write.parquet(data)
+    register(spark, tmp_path / "silver", database)
+    spark.createDataFrame([((5_000_000_000,), 1)], "s struct<`a-b`:bigint>, n int").write.mode("overwrite").parquet(data)
+    real = type(spark.catalog).createTable
+    monkeypatch.setattr(type(spark.catalog), "createTable", lambda *a, **b: 1 / 0)
+    with pytest.raises(RuntimeError, match="division"):
+        register(spark, tmp_path / "silver", database)
+    assert spark.catalog.tableExists(f"{database}.p_t")
+    monkeypatch.setattr(type(spark.catalog), "createTable", real)
+    register(spark, tmp_path / "silver", database)
+    assert rows(spark.table(f"{database}.p_t").select(F.col("s")["a-b"], "n")) == [(5_000_000_000, 1)]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["p_t"]
+
+
+def test_register_leaves_managed_tables_alone(spark, tmp_path, database):
+    spark.range(4).write.saveAsTable(f"{database}.p_t")
+    spark.range(2).write.parquet(str(tmp_path / "silver/t"))
+    spark.range(3).write.parquet(str(tmp_path / "silver/u"))
+    with pytest.raises(RuntimeError, match="managed"):
+        register(spark, tmp_path / "silver", database)
+    assert spark.table(f"{database}.p_t").count() == 4 and spark.table(f"{database}.p_u").count() == 3
+
+
+def test_register_follows_moved_data_if_told_to(spark, tmp_path, database):
+    spark.range(3).write.parquet(str(tmp_path / "a/t"))
+    spark.range(50).write.parquet(str(tmp_path / "b/t"))
+    register(spark, tmp_path / "a", database)
+    with pytest.raises(RuntimeError, match="it lies at"):
+        register(spark, tmp_path / "b", database)
+    assert spark.table(f"{database}.p_t").count() == 3
+    register(spark, tmp_path / "b", database, move=True)
+    assert spark.table(f"{database}.p_t").count() == 50
+
+
+def test_register_refuses_two_folders_of_one_name(spark, tmp_path, database):
+    for name in ("links-small", "links_small", "other"):
+        spark.range(3).write.parquet(str(tmp_path / "silver" / name))
+    with pytest.raises(RuntimeError, match="several folders"):
+        register(spark, tmp_path / "silver", database)
+    assert [t.name for t in spark.catalog.listTables(database)] == ["p_other"]
+
+
+def test_register_finds_folders_beside_files(spark, tmp_path, database):
+    spark.range(3).write.parquet(str(tmp_path / "silver/t"))
+    spark.range(9).write.parquet(str(tmp_path / "silver/t/inner"))
+    names = register(spark, tmp_path / "silver", database)
+    assert {n: spark.table(n).count() for n in names} == {f"{database}.p_t": 3, f"{database}.p_inner": 9}
+
+
+def test_register_compares_columns_by_the_session_s_case(spark, tmp_path, database):
+    data = str(tmp_path / "silver/t")
+    spark.createDataFrame([(1,)], "id int").write.parquet(data)
+    register(spark, tmp_path / "silver", database)
+    spark.createDataFrame([(2, 3)], "Id int, more int").write.mode("overwrite").parquet(data)
+    register(spark, tmp_path / "silver", database)
+    assert rows(spark.table(f"{database}.p_t")) == [(2, 3)]
+
+
+def test_a_spoiled_column_is_seen(spark, monkeypatch):
+    """The check of the conversions compares contents, not only numbers of rows."""
+    from tests.oracle import connect, difference
+    from workload import storage
+    from workload.registry import ORACLE_SQL
+    monkeypatch.setattr(storage, "CONVERTED", {"nation": storage.CONVERTED["nation"]})
+    sql = storage.contents_sql("nation", "nation", "n_nationkey", {"n_name": "n_name", "n_nationkey": storage.text_sql("n_nationkey", "number"), "n_regionkey": storage.text_sql("n_regionkey", "number")})
+    folder = "/root/testdata/sf0.001"
+    assert difference(spark, connect(folder), storage.convert_many, sql, folder)[0] is None and "n_name" in ORACLE_SQL["convert_many"]
+    real = storage.table
+    monkeypatch.setattr(storage, "table", lambda *a: real(*a).withColumn("n_name", F.upper(F.reverse("n_name"))))
+    assert "rows" in difference(spark, connect(folder), storage.convert_many, sql, folder)[0]
+
+
 def test_register_raw_csv(spark, tmp_path, database):
     write_stocks(tmp_path / "bronze/stocks")
     write(tmp_path / "bronze/mixed/a.csv", "x\n1\n")

@@ -227,7 +227,7 @@ def ntile_over_agg(spark: SparkSession, d: str) -> DataFrame:
     FROM orders""")
 def ntile_distributed(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    ranked = op.ntile_by_range(orders, 7, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+    ranked = op.ntile(orders, 7, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
     return ranked.select("o_orderkey", "rank")
 
 

@@ -119,7 +119,21 @@ def convert_one(spark: SparkSession, d: str) -> DataFrame:
     return as_types_of(sources.read_parquet(spark, processed), events.schema)
 
 
-CONVERTED = ("customer", "nation", "orders", "part", "region", "supplier")
+# Each table's key and the kinds of its columns.
+CONVERTED = {
+    "customer": ("c_custkey", {
+        "c_custkey": "number", "c_name": "text", "c_nationkey": "number", "c_acctbal": "number", "c_mktsegment": "text"}),
+    "nation": ("n_nationkey", {
+        "n_nationkey": "number", "n_name": "text", "n_regionkey": "number"}),
+    "orders": ("o_orderkey", {
+        "o_orderkey": "number", "o_custkey": "number", "o_orderstatus": "text", "o_totalprice": "number", "o_orderdate": "date", "o_orderpriority": "text"}),
+    "part": ("p_partkey", {
+        "p_partkey": "number", "p_name": "text", "p_brand": "text", "p_type": "text", "p_size": "number", "p_retailprice": "number"}),
+    "region": ("r_regionkey", {
+        "r_regionkey": "number", "r_name": "text"}),
+    "supplier": ("s_suppkey", {
+        "s_suppkey": "number", "s_name": "text", "s_nationkey": "number", "s_acctbal": "number"}),
+}
 
 
 def convert_tables(spark: SparkSession, d: str, names: tuple[str, ...]) -> str:
@@ -130,14 +144,41 @@ def convert_tables(spark: SparkSession, d: str, names: tuple[str, ...]) -> str:
     return processed
 
 
+def contents_sql(name: str, label: str, key: str, values: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS table_name, CAST({key} AS BIGINT) AS row_key, '{column}' AS column_name, {text} AS text FROM {name}"
+        for column, text in values.items())
+
+
+def contents(df: DataFrame, label: str, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """Every value of a table in one shape: table_name, row_key, column_name, text."""
+    shown = [F.struct(F.lit(c).alias("column_name"), shown_text(df, c).alias("text")) for c in columns]
+    return df.select(F.lit(label).alias("table_name"), F.col(key).cast("bigint").alias("row_key"),
+                     F.explode(F.array(*shown)).alias("cell")).select("table_name", "row_key", "cell.*")
+
+
+def shown_text(df: DataFrame, column: str):
+    """Text as it is, dates as days, and numbers in hundredths, which both engines write alike."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith(("timestamp", "date")):
+        return F.date_format(column, "yyyy-MM-dd")
+    return F.col(column) if kind == "string" else F.round(F.col(column).cast("double") * 100).cast("bigint").cast("string")
+
+
+def text_sql(column: str, kind: str) -> str:
+    if kind == "date":
+        return f"strftime({column}, '%Y-%m-%d')"
+    return column if kind == "text" else f"CAST(CAST(round(CAST({column} AS DOUBLE) * 100) AS BIGINT) AS VARCHAR)"
+
+
 @query(" UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS table_rows FROM {name}" for name in CONVERTED))
+    contents_sql(name, name, key, {c: text_sql(c, kind) for c, kind in columns.items()})
+    for name, (key, columns) in CONVERTED.items()))
 def convert_many(spark: SparkSession, d: str) -> DataFrame:
-    processed = convert_tables(spark, d, CONVERTED)
+    processed = convert_tables(spark, d, tuple(CONVERTED))
     return op.union_all([
-        sources.read_parquet(spark, f"{processed}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("table_rows"))
-        for name in CONVERTED])
+        contents(sources.read_parquet(spark, f"{processed}/{name}"), name, key, tuple(columns))
+        for name, (key, columns) in CONVERTED.items()])
 
 
 @query("""
@@ -163,16 +204,18 @@ def registered(spark: SparkSession, d: str) -> str:
     return database
 
 
-@query("""
-    SELECT 'processed_customer' AS table_name, count(*) AS table_rows FROM customer
-    UNION ALL SELECT 'processed_orders', count(*) FROM orders
-    UNION ALL SELECT 'processed_events', count(*) FROM events""")
+REGISTERED = {name: CONVERTED[name] for name in ("customer", "orders")} | {
+    "events": ("event_id", {"user_id": "number", "event_type": "text", "ts": "date", "value": "number", "props": "text"})}
+
+
+@query(" UNION ALL ".join(
+    contents_sql(name, f"processed_{name}", key, {c: text_sql(c, kind) for c, kind in columns.items()})
+    for name, (key, columns) in REGISTERED.items()))
 def catalog_register(spark: SparkSession, d: str) -> DataFrame:
     database = registered(spark, d)
     return op.union_all([
-        sources.read_table(spark, f"{database}.{name}").agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("table_rows"))
-        for name in ("processed_customer", "processed_events", "processed_orders")])
+        contents(sources.read_table(spark, f"{database}.processed_{name}"), f"processed_{name}", key, tuple(columns))
+        for name, (key, columns) in REGISTERED.items()])
 
 
 @query("""
