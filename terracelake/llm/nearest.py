@@ -140,7 +140,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 20
     those with the query's own id; ties go to the smaller id.
 
     Each pair of a query block and a vector block is a tile. Vector blocks are dealt into groups,
-    one for each shuffle partition, and query blocks go to every group; within a task, tiles come
+    as many as there are shuffle partitions or blocks, and query blocks go to every group; within a task, tiles come
     ordered by query block, so it holds the nearest of one query block at a time. The tasks' lists
     are then merged per query.
 
@@ -150,9 +150,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 20
     table gives none.
     """
     spark = prepare(vectors.sparkSession)
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = packed(usable(vectors), block, "vector_blocks")
-    asked = packed(usable(queries).repartition(F.pmod("id", F.lit(8))), query_block, "query_blocks")
+    # Few queries lie in each input split; gathered, they fill their blocks.
+    asked = packed(usable(queries).hint("rebalance"), query_block, "query_blocks")
+    groups = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), own.count()))
     left = own.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))
     right = asked.select(
         "dim", *(F.col(c).alias(f"q_{c}") for c in ("block", "n", "ids", "vectors", "small", "norms")),
