@@ -44,7 +44,7 @@ BREAKS_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def lowered(text: Column) -> Column:
     """A-Z lower-cased. Two other letters have lower-case forms with ASCII in them and are put out of the way."""
-    return F.lower(F.replace(F.replace(text, F.lit("İ"), F.lit("ı")), F.lit("K"), F.lit("ĸ")))
+    return F.lower(F.replace(F.replace(text, F.lit("\u0130"), F.lit("\u0131")), F.lit("\u212a"), F.lit("\u0138")))
 
 
 def spaced(phrase: str) -> str:

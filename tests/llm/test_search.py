@@ -145,7 +145,7 @@ def our_licenses(docs):
 
 def test_licenses(spark):
     texts = ["MIT License, mit LICENSE! Apache\nlicense", None, "", " \n ", "Licensed under CC BY-NC 4.0.", "the mit licenses", "mIt licenSe",
-             "x" * 5000 + " General Public  License", "GNU general public license 3 general public license", "Kİ mit licenseK é½ 漢字",
+             "x" * 5000 + " General Public  License", "GNU general public license 3 general public license", "K\u212a\u0130 mit license\u212a é½ 漢字", "THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE VERSION 3", "UNLIKELY Kin",
              "Released under the MIT", "free of charge, permission is hereby granted to any person obtaining a copy",
              "This program is free software you can redistribute it and or modify it under the terms of the gnu public license",
              "words and more words\n" * 500 + "Released under the MIT License.\nthe end"]
