@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import re
 import string
+import struct
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # Entries remembered by one worker; both tables are emptied when they are full.
@@ -22,10 +22,17 @@ LONGEST = 64  # characters of a piece worth remembering
 
 # Letters up to here are unchanged by NFC and have one lower-case form, whatever the
 # version of Unicode.
-PLAIN_LETTERS = "ɏ"
+PLAIN_LETTERS = "\u024f"
 
 # Spaces other than blank, tab and line ends: texts that hold them go to the library whole.
-RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+RARE_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def has_rare_space(text: str) -> bool:
+    if text.isascii():
+        return any(space in text for space in RARE_ASCII)
+    return RARE_SPACE.search(text) is not None
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,7 +47,7 @@ BYTE_LETTERS = _byte_letters()
 
 def packed(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Chunks(dict):
@@ -81,11 +88,10 @@ class Chunks(dict):
 
     def encode(self, before: str, chunk: str) -> bytes:
         core = chunk.rstrip(string.punctuation)
-        if core.isalpha() and max(core) <= PLAIN_LETTERS and (low := core.lower()).isalpha():
-            if self.lower:
-                return self.word(low) + self.tail(chunk[len(core):])
-            return self.word(before + core) + self.tail(chunk[len(core):])
-        return self.whole(before + chunk)
+        if not core.isalpha() or not (core.isascii() or max(core) <= PLAIN_LETTERS and core.lower().isalpha()):
+            return self.whole(before + chunk)
+        ids = self.word(core.lower() if self.lower else before + core)
+        return ids if len(core) == len(chunk) else ids + self.tail(chunk[len(core):])
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CHUNKS:
@@ -112,7 +118,7 @@ class WordIds:
         self.chunks = Chunks(Tokenizer.from_file(path), True, "")
 
     def __call__(self, text: str) -> bytes:
-        if RARE_SPACE.search(text):
+        if has_rare_space(text):
             return self.chunks.whole(text)
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
@@ -128,7 +134,7 @@ class ByteIds:
 
     def __call__(self, text: str) -> bytes:
         first, *others = text.split(" ")
-        if RARE_SPACE.search(text) or "" in others or " \n" in text or " \t" in text or " \r" in text:
+        if has_rare_space(text) or "" in others or " \n" in text or " \t" in text or " \r" in text:
             return self.chunks.whole(text)
         return self.chunks.parts("", first) + b"".join(map(self.chunks.__getitem__, others)) if text else b""
 
