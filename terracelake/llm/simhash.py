@@ -167,7 +167,9 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     Buckets of more than ``block`` fingerprints are divided into blocks, and each pair of blocks
     is compared by itself, so a task never holds more than two blocks of one bucket.
     """
-    keyed = buckets(prints)
+    # Each fingerprint becomes forty rows: few and small files would make few and long tasks.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = buckets(prints.repartition(tasks))
     large = store(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
                   .select("key", F.ceil(F.col("n") / block).cast("long").alias("blocks")), "large_buckets")
     paired = (
