@@ -218,8 +218,13 @@ def representatives(docs: DataFrame, shingle: int = 4) -> DataFrame:
     doc_id the smallest text hash decides). Of rows with the same doc_id and text one stays.
     Other cases are as in ``near_duplicates``.
     """
+    return first_of_groups(docs, grouped(docs, shingle))
+
+
+def first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first row of each group. ``groups``: doc_id, text_hash and root of every row."""
     own = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_hash").alias("hash"))
-    kept = store(grouped(docs, shingle).groupBy("root").agg(F.min(own).alias("kept")), "representatives")
+    kept = store(groups.groupBy("root").agg(F.min(own).alias("kept")), "representatives")
     keyed = docs.withColumns({"_sh_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
                               "_sh_hash": F.xxhash64(text_of())})
     return (
