@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from terracelake.llm.common import prepare, store, text_of
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
 # Clauses of public licence notices; label. A notice of several lines is
-# given clause by clause, since blocks of text are lines.
+# given clause by clause; a clause may itself be wrapped over lines.
 TEMPLATES = (
     ("mit", "Released under the MIT License"),
     ("mit", "Licensed under the MIT license"),
@@ -40,6 +43,8 @@ TEMPLATES = (
 # ASCII characters that are in no word once A-Z are lower-cased.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAKS_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+# A span of text has the windows that start at so many words.
+STRIDE = 64
 
 
 def lowered(text: Column) -> Column:
@@ -56,13 +61,13 @@ def template_tokens(docs: DataFrame, threshold: float) -> DataFrame:
 
     token, label, tokens (of the template, rarest in the corpus first), required (tokens a
     block must share), place (of this token, from 1), later (tokens of all templates that
-    aren't rarer). All of it is made of TEMPLATES, so it is of fixed size.
+    aren't rarer), width (words of a window). All of it is made of TEMPLATES, so it is of fixed size.
     """
     spark = docs.sparkSession
-    templates = spark.createDataFrame([(i, label, notice) for i, (label, notice) in enumerate(TEMPLATES)],
-                                      "template int, label string, notice string")
+    templates = spark.createDataFrame([(i, label, notice, width(notice, threshold)) for i, (label, notice) in enumerate(TEMPLATES)],
+                                      "template int, label string, notice string, width int")
     tokens = templates.select(
-        "template", "label", F.explode(F.array_distinct(F.filter(
+        "template", "label", "width", F.explode(F.array_distinct(F.filter(
             F.split(lowered(F.col("notice")), BREAKS), lambda w: w != ""))).alias("token"))
     words = docs.select(F.explode(F.split(lowered(text_of()), BREAKS)).alias("token"))
     counts = words.join(F.broadcast(tokens.select("token").distinct()), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -79,7 +84,50 @@ def template_tokens(docs: DataFrame, threshold: float) -> DataFrame:
         .withColumn("required", F.ceil(F.size("tokens") * threshold).cast("int"))
         .withColumn("place", F.array_position("tokens", F.col("token")).cast("int"))
         .filter(F.col("place") <= F.size("tokens") - F.col("required") + 1)
-        .select("token", "label", "tokens", "required", "place", "later")
+        .select("token", "label", "tokens", "required", "place", "later", "width")
+    )
+
+
+def width(notice: str, threshold: float) -> int:
+    """Words of a window: the notice's own and as many others as leave it ``threshold`` of the window."""
+    return ceil(len(re.sub(BREAKS, " ", notice.lower()).split()) / threshold)
+
+
+def wrapped_notices(texts: DataFrame, prefixes: DataFrame, threshold: float) -> DataFrame:
+    """id, print, label, share of the notices that stand in windows over line ends.
+
+    A window has ``width`` consecutive words of the text, whatever lines they are in, and starts at any
+    word. Spans of STRIDE starts and the longest width hold each window whole; they go through
+    the filters first, and windows are tried where a span passes. Windows of texts of one line are in it.
+    """
+    longest = max(width(notice, threshold) for _, notice in TEMPLATES)
+    words = F.split(F.trim(F.regexp_replace(lowered(text_of()), BREAKS, " ")), " ")
+    rare = prefixes.agg(F.collect_set("token").alias("rare"))  # one row, of fixed size
+    spans = (
+        texts.filter(F.contains(text_of(), F.lit("\n"))).select("id", "print", words.alias("all"))
+        .select("id", "print", F.explode(F.transform(
+            F.sequence(F.lit(0), F.floor((F.size("all") - 1) / STRIDE).cast("int")),
+            lambda i: F.slice("all", i * STRIDE + 1, STRIDE + longest - 1))).alias("words"))
+        .crossJoin(F.broadcast(rare)).filter(F.arrays_overlap("words", "rare"))
+        .select("id", "print", "words", F.explode(F.array_intersect("words", "rare")).alias("token"))
+    )
+    windows = F.transform(F.sequence(F.lit(1), F.least(F.size("words"), F.lit(STRIDE))),
+                          lambda i: F.size(F.array_intersect(F.slice("words", i, F.col("width")), "tokens")))
+    return (
+        candidates(spans, prefixes)
+        .select("id", "print", "label", "tokens", "required", F.array_max(windows).alias("shared"))
+        .filter(F.col("shared") >= F.col("required"))
+        .select("id", "print", "label", (F.col("shared") / F.size("tokens")).alias("share"))
+    )
+
+
+def candidates(blocks: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Blocks (id, print, words, token) that share the required tokens with a notice, beside the notice."""
+    return (
+        blocks.join(F.broadcast(prefixes), "token")
+        .filter(F.size(F.array_distinct("words")) >= F.col("required"))
+        .filter(F.least(F.size("tokens") - F.col("place") + 1, F.size(F.array_intersect("words", "later"))) >= F.col("required"))
+        .filter(F.size(F.array_intersect("words", "tokens")) >= F.col("required"))
     )
 
 
@@ -88,11 +136,12 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     doc_id, n_words, n_base (places of all phrases), first_word and last_word (smallest and
     largest start of a phrase, words from 0), base_labels, labels (with those of notices),
-    score: the largest share of a notice's words that one line holds, 0 if that is below
-    ``threshold``, and 1 where a phrase stands.
+    score: the largest share of a notice's words that one line or one window holds, 0 if that is
+    below ``threshold``, and 1 where a phrase stands. Windows are runs of words over line ends,
+    a quarter longer than the notice at the usual threshold, so wrapped clauses are found.
 
-    Notices are joined to lines exactly: tokens are ordered by their frequency in the corpus,
-    a notice's rarest ones are its prefix, and only lines with a token of it are candidates.
+    Notices are joined to lines and windows exactly: tokens are ordered by their frequency in the corpus,
+    a notice's rarest ones are its prefix, and only blocks with a token of it are candidates.
     A candidate is dropped if it has too few tokens (length filter), or too few that are not
     rarer than the matching one (positional filter), before the shared tokens are counted.
     Only the prefixes, whose size TEMPLATES fixes, are broadcast.
@@ -111,14 +160,12 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .select("id", "print", F.split("line", " ").alias("words"))
         .select("id", "print", "words", F.explode("words").alias("token"))
     )
-    shared = F.size(F.array_intersect("words", "tokens"))
+    share = F.size(F.array_intersect("words", "tokens")) / F.size("tokens")
     notices = (
-        lines.join(F.broadcast(prefixes), "token")
-        .filter(F.size(F.array_distinct("words")) >= F.col("required"))
-        .filter(F.least(F.size("tokens") - F.col("place") + 1, F.size(F.array_intersect("words", "later"))) >= F.col("required"))
-        .filter(shared >= F.col("required"))
+        candidates(lines, prefixes).select("id", "print", "label", share.alias("share"))
+        .union(wrapped_notices(texts, prefixes, threshold))
         .groupBy("id", "print")
-        .agg(F.collect_set("label").alias("notice_labels"), F.max(shared / F.size("tokens")).alias("share"))
+        .agg(F.collect_set("label").alias("notice_labels"), F.max("share").alias("share"))
     )
 
     words = F.concat(F.lit(" "), F.regexp_replace(lowered(text_of()), BREAKS, "  "), F.lit(" "))
