@@ -42,6 +42,8 @@ BATCH = 1 << 20  # ids handed over at a time
 
 
 def to_planes(ids: np.ndarray, width: int, bits: bool) -> list[bytes]:
+    if len(ids) and int(ids.max()) >> 8 * width:
+        raise ValueError(f"id {int(ids.max())} does not fit in {width} bytes")
     octets = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
     if not bits:
         return [np.ascontiguousarray(octets[:, i]).tobytes() for i in range(width)]
@@ -159,6 +161,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
     when all files are written: part, file, n_docs, n_ids, n_bytes. A task that is run again
     writes a file of another name, and only files of the manifest count.
 
+    An id that does not fit in ``width`` bytes is an error.
+
     A null text is empty. Rows without doc_id come first; rows with the same doc_id, equal
     ones too, follow one another. An empty table gives no files. Other columns are not read.
     """
