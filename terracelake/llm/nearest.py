@@ -89,6 +89,8 @@ def tile_nearest(queries: dict, vectors: dict, k: int, best: list[list[tuple[flo
     bound = 2 * (q_lost[:, None] * v_norm + q_about[:, None] * v_lost)
     bound += 1e-9 * (q_norm[:, None] + v_norm) ** 2  # rounding of the bounds themselves
     low, high = about - bound, about + bound
+    # Squares of components above about 1e154 overflow: such bounds say nothing.
+    low[~np.isfinite(low)], high[~np.isfinite(high)] = -np.inf, np.inf
     own = q_id[:, None] == v_id
     low[own] = high[own] = np.inf
     limit = np.full(len(q), np.inf)
@@ -96,16 +98,20 @@ def tile_nearest(queries: dict, vectors: dict, k: int, best: list[list[tuple[flo
         # Rows that share an id are one candidate, so only distinct ids make a k-th.
         if len(np.unique(v_id)) == len(v_id):
             limit = np.partition(high, k - 1, axis=1)[:, k - 1]
-    known = np.array([b[-1][0] ** 2 * (1 + 1e-9) if len(b) == k else np.inf for b in best])
+    known = np.array([b[-1][0] * b[-1][0] * (1 + 1e-9) if len(b) == k else np.inf for b in best])
     rows, columns = np.nonzero((low <= np.minimum(limit, known)[:, None]) & ~own)
     step = max(1, EXACT // q.shape[1])
     found: dict[int, dict[int, float]] = {}
     for at in range(0, len(rows), step):
         r, c = rows[at:at + step], columns[at:at + step]
         exact = np.sqrt(((q[r] - v[c]) ** 2).sum(axis=1))
+        if len(over := np.flatnonzero(np.isinf(exact))):
+            apart = np.abs(q[r[over]] - v[c[over]])
+            most = apart.max(axis=1)
+            exact[over] = most * np.sqrt(((apart / most[:, None]) ** 2).sum(axis=1))
         for i, vec_id, d in zip(r.tolist(), v_id[c].tolist(), exact.tolist()):
             mine = found.setdefault(i, {})
-            if d < mine.get(vec_id, np.inf):
+            if vec_id not in mine or d < mine[vec_id]:
                 mine[vec_id] = d
     for i, mine in found.items():
         best[i] = first_distinct(merge(best[i], nsmallest(k, ((d, vec_id) for vec_id, d in mine.items()))), k)
