@@ -108,11 +108,20 @@ def test_every_pair_within_four_bits_shares_a_bucket():
         x = flipped(0, source.sample(range(64), source.randint(0, 4)))
         seg = [x >> 8 * (7 - i) & 255 for i in range(8)]
         chain = [sum(bin(s).count("1") for s in (seg[i:] + seg[:i])[:n]) for i in range(8) for n in range(1, 9)]
-        good = [i for i in range(8) if all(chain[8 * i + n] <= simhash.BUDGET[n] for n in range(8))]
-        assert good and any(seg[i] == seg[(i + p) % 8] == seg[(i + q) % 8] == 0 for i in good for p, q in simhash.PATTERNS), a
+        distance = max(1, bin(x).count("1"))
+        good = [i for i in range(8) if all(chain[8 * i + n] <= simhash.budgets(distance)[n] for n in range(8))]
+        assert good and any(seg[i] == seg[(i + p) % 8] == seg[(i + q) % 8] == 0 for i in good for p, q in simhash.patterns(distance)), a
+        equal = [i for i in range(8) if not seg[i]]
+        assert distance > 4 or len(equal) >= 4, "a large bucket is divided by a fourth equal segment"
 
 
-def brute_components(prints):
+def test_buckets_of_the_contract():
+    assert simhash.patterns(4) == ((1, 2), (1, 3), (1, 4), (2, 3), (2, 4)) and simhash.budgets(4) == [0, 1, 1, 2, 2, 3, 3, 4]
+    with pytest.raises(ValueError):
+        simhash.patterns(5)
+
+
+def brute_components(prints, distance=4):
     parent = {p: p for p in prints}
 
     def root(p):
@@ -122,7 +131,7 @@ def brute_components(prints):
     own = list(prints)
     for i, a in enumerate(own):
         for b in own[:i]:
-            if bin(a ^ b).count("1") <= 4:
+            if bin(a ^ b).count("1") <= distance:
                 parent[root(a)] = root(b)
     return {p: root(p) for p in own}
 
@@ -141,20 +150,50 @@ def same_groups(a, b):
     return len(set(zip(a, b))) == len(set(a)) == len(set(b))
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_links_connect_what_is_near(spark, block):
+@pytest.mark.parametrize("block, distance", [(2048, 4), (8, 4), (8, 2)])
+def test_links_connect_what_is_near(spark, block, distance):
     prints = near_prints(block)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    found = links(spark.createDataFrame([(p,) for p in signed], "print long"), block).collect()
+    found = links(spark.createDataFrame([(p,) for p in signed], "print long"), block, distance).collect()
     for r in found:
-        assert bin((r.a ^ r.b) % (1 << 64)).count("1") <= 4
+        assert bin((r.a ^ r.b) % (1 << 64)).count("1") <= distance
     nodes = spark.createDataFrame([(p, i) for i, p in enumerate(signed)], "node long, first long")
     edges = spark.createDataFrame([(r.a, r.b) for r in found], "a long, b long")
     reached = {r.node: r.root for r in smallest_reachable(edges, nodes).collect()}
-    truth = brute_components(prints)
+    truth = brute_components(prints, distance)
     assert same_groups([reached.get(s, s) for s in signed], [truth[s % (1 << 64)] for s in signed])
 
 
+@pytest.mark.parametrize("start", range(8))
+def test_chains_decide_alike_in_small_and_large_buckets(start, monkeypatch):
+    prints = np.array(sorted(near_prints(start, 6, 40, 6)), np.uint64)
+    key = np.full(len(prints), start * 5 << 24, np.int64)
+    groups = []
+    for few in (0, len(prints)):
+        monkeypatch.setattr(simhash, "FEW", few)
+        a, b = bucket_links(key, prints, np.array([0, len(prints)]))
+        parent = {int(p): int(p) for p in prints}
+
+        def root(p):
+            while parent[p] != p:
+                p = parent[p]
+            return p
+        for x, y in zip(a.tolist(), b.tolist()):
+            parent[root(x)] = root(y)
+        groups.append([root(int(p)) for p in prints])
+    assert same_groups(*groups)
+
+
+def test_rows_of_a_large_bucket(spark):
+    """Random fingerprints that share 24 bits: five rows each when divided, and no block is paired with itself."""
+    source = random.Random(8)
+    prints = spark.createDataFrame([(source.getrandbits(40),) for _ in range(3000)], "print long").distinct()
+    keyed = simhash.buckets(prints).filter("key = 0")
+    finer = simhash.divided(keyed)
+    assert keyed.count() == prints.count() and finer.count() == 5 * prints.count()
+    assert finer.groupBy("key").count().agg(F.max("count")).first()[0] < 60
+
+
 def test_buckets_over_several_batches():
     prints = np.array(sorted(near_prints(5, 3, 60, 3)), np.uint64)
     key = np.zeros(len(prints), np.int64)
