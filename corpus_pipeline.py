@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from terracelake.llm.common import store, table
 from terracelake.llm.decontaminate import without_items
 from terracelake.llm.line_dedup import drop_shared_lines
-from terracelake.llm.near_copies import without_near_copies
 from terracelake.llm.packing import pack
 from terracelake.llm.quality import judge
+from terracelake.llm.simhash import representatives
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 of their five-word runs the one with the smallest doc_id stays."""
-    return without_near_copies(docs).select(docs.columns)
+    """Of documents linked by fingerprints of four-word runs, at most four bits apart, the one with the smallest doc_id stays."""
+    return representatives(docs, shingle=4, distance=4).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
