@@ -13,6 +13,7 @@ from terracelake.llm.decontaminate import find_items
 from terracelake.llm.licenses import scan_licenses
 from terracelake.llm.line_dedup import drop_shared_lines
 from terracelake.llm.nearest import nearest
+from terracelake.llm.ngram_join import similar_documents
 from terracelake.llm.packing import pack
 from terracelake.llm.quality import judge
 from terracelake.llm.sharding import shard_by_bytes
@@ -112,3 +113,28 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
     judged = judge(documents, table(spark, d, "labels"))
     return judged.filter("keep").select("doc_id", "toxic", "low", "keep")
+
+
+@query
+def op11_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return similar_documents(table(spark, d, "documents"))
+
+
+ORACLE_SQL["op11_ngram_join"] = r"""
+    WITH RECURSIVE docs AS (
+      SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+    sets AS (
+      SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))) END AS grams FROM docs),
+    entries AS (SELECT r, len(grams) AS n, unnest(grams) AS gram FROM sets),
+    pairs AS (
+      SELECT a.r AS x, b.r AS y, a.n + b.n - count(*) AS joined, count(*) AS shared
+      FROM entries a JOIN entries b ON a.gram = b.gram AND a.r <> b.r GROUP BY a.r, b.r, a.n, b.n),
+    links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 90 * joined),
+    reach AS (
+      SELECT r AS x, r AS y FROM sets
+      UNION
+      SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+    SELECT any_value(s.doc_id) AS doc_id, CAST(any_value(len(s.grams)) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+    FROM reach JOIN sets s ON reach.x = s.r JOIN sets o ON reach.y = o.r GROUP BY reach.x"""
