@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terracelake.llm.common import table, text_of
 from terracelake.llm.decontaminate import find_items
+from terracelake.llm.hard_negatives import hard_negatives
 from terracelake.llm.licenses import scan_licenses
 from terracelake.llm.line_dedup import drop_shared_lines
 from terracelake.llm.nearest import nearest
@@ -123,10 +124,10 @@ def op11_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 ORACLE_SQL["op11_ngram_join"] = r"""
     WITH RECURSIVE docs AS (
       SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
     sets AS (
       SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-             ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))) END AS grams FROM docs),
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS grams FROM docs),
     entries AS (SELECT r, len(grams) AS n, unnest(grams) AS gram FROM sets),
     pairs AS (
       SELECT a.r AS x, b.r AS y, a.n + b.n - count(*) AS joined, count(*) AS shared
@@ -138,3 +139,33 @@ ORACLE_SQL["op11_ngram_join"] = r"""
       SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
     SELECT any_value(s.doc_id) AS doc_id, CAST(any_value(len(s.grams)) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
     FROM reach JOIN sets s ON reach.x = s.r JOIN sets o ON reach.y = o.r GROUP BY reach.x"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, d, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
+ORACLE_SQL["op12_hard_negatives"] = """
+    WITH sound AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+    positives AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    ranked AS (
+      SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+        AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM ranked WHERE rank <= 3"""

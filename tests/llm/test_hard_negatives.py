@@ -1,0 +1,94 @@
+"""Strassen products and mined negatives against plain integers."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from terracelake.llm.hard_negatives import hard_negatives, joined, leading, strassen
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 40), st.integers(0, 40), st.integers(0, 40), st.integers(1, 8), st.sampled_from([3, 1000, 1 << 30, 1 << 62]), st.integers(0, 99))
+def test_strassen(m, k, n, leaf, most, seed):
+    random = np.random.default_rng(seed)
+    a, b = random.integers(-most, most, (m, k)), random.integers(-most, most, (k, n))
+    got = strassen(a, b, leaf)
+    want = a.astype(object) @ b.astype(object) if k else np.zeros((m, n), object)
+    assert got.dtype == np.int64 and got.shape == (m, n)
+    assert [int(x) % (1 << 64) for x in got.ravel()] == [int(x) % (1 << 64) for x in want.ravel()]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(-3, 3), st.integers(0, 9)), max_size=30), st.integers(1, 5), st.integers(0, 30))
+def test_heaps_merge_to_the_best(rows, k, cut):
+    def best(own):
+        most = {}
+        for score, i in own:
+            most[i] = max(score, most.get(i, score))
+        return sorted((-s, i) for i, s in most.items())[:k]
+
+    def heap(own):
+        own = sorted(own, key=lambda r: r[1])
+        return leading(np.array([s for s, _ in own], np.int64), np.array([i for _, i in own], np.int64), k)
+    assert heap(rows) == best(rows)
+    assert joined(heap(rows[:cut]), heap(rows[cut:]), k) == best(rows)
+
+
+def brute(rows, anchors, positives=5, negatives=3):
+    def sound(own):
+        out = []
+        for i, label, v in own:
+            if i is None or label is None or v is None or None in v or not all(map(math.isfinite, v)):
+                continue
+            whole = [math.floor(256.0 * x) for x in v]
+            if sum(x * x for x in whole) < 2 ** 62:
+                out.append((i, label, whole, v))
+        return out
+
+    def best(pairs, k):
+        most = {}
+        for score, i in pairs:
+            most[i] = max(score, most.get(i, score))
+        return sorted((-s, i) for i, s in most.items())[:k]
+    own = {}
+    for i, label, whole, v in sorted(sound(anchors), key=lambda r: (r[1], r[3]), reverse=True):
+        own[i] = (label, whole)
+    out = []
+    for a, (label, v) in own.items():
+        scored = [(sum(x * y for x, y in zip(v, w)), i, other == label) for i, other, w, _ in sound(rows) if i != a and len(v) == len(w)]
+        for ps, p in best([(s, i) for s, i, same in scored if same], positives):
+            inside = [(s, i) for s, i, same in scored if not same and 50 * -ps <= 100 * s <= 95 * -ps]
+            for rank, (ns, n) in enumerate(best(inside, negatives), 1):
+                out.append((a, p, rank, n, -ps, -ns))
+    return sorted(out)
+
+
+def vectors(seed, n, dim):
+    source = random.Random(seed)
+    return [(i, source.randint(0, 3), [source.gauss(0.2, 0.4) for _ in range(dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [7, 64, 2048])
+def test_mined(spark, block):
+    rows = vectors(1, 160, 33)
+    rows += [(i, i % 4, rows[i % 5][2]) for i in range(200, 240)]  # ties
+    rows += [(300, None, rows[0][2]), (301, 1, None), (302, 1, [0.5] * 32 + [float("nan")]), (303, 1, [0.5] * 32 + [None]),
+             (304, 1, [float("inf")] * 33), (305, 1, []), (306, 2, []), (307, 1, [1.0, 2.0]), (308, 1, [2.0, 1.0]), (309, 2, [1.0, 1.0]),
+             (None, 1, [0.5] * 33), (310, 1, [0.0] * 33), (311, 2, [0.0] * 33), (312, 1, [1e300] * 33), (313, 2, [3e6, 1.0]), (314, 1, [4e6, 3.0]),
+             (10, 2, rows[3][2]), (10, 1, rows[10][2]), (12, 0, rows[7][2]), (12, 0, rows[7][2]), (315, 0, [-0.5] * 33), (318, 0, [0.5] * 33)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(3)
+    asked = [r for r in rows if r[0] is not None and r[0] % 3 == 0]
+    got = hard_negatives(table, table.filter("vec_id % 3 = 0"), block=block, anchor_block=block)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(map(tuple, got.collect())) == brute(rows, asked)
+    if block == 64:
+        assert hard_negatives(table.limit(0), table).collect() == [] and hard_negatives(table, table.limit(0)).collect() == []
+        extra = table.select("vec_id", "label", "embedding", F.lit("own").alias("windows"))
+        assert hard_negatives(extra.drop("windows"), extra.drop("windows").filter("vec_id = 3")).count() == len(brute(rows, [r for r in rows if r[0] == 3]))
