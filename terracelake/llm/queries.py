@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from terracelake.llm.decontaminate import find_items
 from terracelake.llm.hard_negatives import hard_negatives
 from terracelake.llm.licenses import scan_licenses
 from terracelake.llm.line_dedup import drop_shared_lines
+from terracelake.llm.merkle import verified_manifest
 from terracelake.llm.nearest import nearest
 from terracelake.llm.ngram_join import similar_documents
 from terracelake.llm.packing import pack
@@ -169,3 +171,11 @@ ORACLE_SQL["op12_hard_negatives"] = """
         AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
     SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
     FROM ranked WHERE rank <= 3"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Where 5 divides the checksum of doc_id, the text's capitals have been lower-cased."""
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return verified_manifest(table(spark, d, "documents"), {"text": F.when(chosen, lower).otherwise(F.col("text"))})
