@@ -112,7 +112,11 @@ def test_no_key_of_the_climb_has_too_many_leaves(spark, monkeypatch):
     monkeypatch.setattr(merkle, "SPREAD_BITS", 5)
     kept = {}
     real = merkle.store
-    monkeypatch.setattr(merkle, "store", lambda df, name: kept.setdefault(name, real(df, name)))
+
+    def store(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+    monkeypatch.setattr(merkle, "store", store)
     docs = spark.createDataFrame([(i, "one", "en", 1, f"t{i}") for i in range(600)], KINDS)
     assert verified_manifest(docs).filter("verified").count() == 600
     runs = kept["spread_runs"].groupBy("tree", "level", "run").count().collect()
