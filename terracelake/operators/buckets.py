@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracelake.session import stored
@@ -21,7 +22,9 @@ def ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], alias: str =
 
     A window without a partition key would put every row into one task. Here rows are dealt
     into ranges of the order, sorted and stored once; a row's place is its place in its
-    range plus the rows of the ranges before.
+    range plus the rows of the ranges before. Ranges are cut at sampled bounds, and sums of
+    doubles may differ in the last bit when they are computed again: stored, the rows and the
+    totals are sure to be of the same ranges, whichever tasks have to run again.
 
     Rows that tie on the order get places next to each other in any order, and lie in one
     range. Where many may tie, ``divide_ties`` deals them to several ranges, ordered by a hash
@@ -41,29 +44,19 @@ def ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], alias: str =
         "ranges",
     ).withColumn("_range", F.shiftright("_slot", PLACE_BITS))
 
-    # One row per range, so at most spark.sql.shuffle.partitions rows: small
-    # enough for one window task and for a broadcast.
-    per_range = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = per_range.select(
-        "_range",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(everything).alias("_total"),
-    )
+    # One number per range, so at most one per task of the write above: small enough for the
+    # driver, and for a constant in the plan. The rows then need no join.
+    rows = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = list(accumulate((rows.get(i, 0) for i in range(max(rows, default=0) + 1)), initial=0))
+    small, larger = divmod(before[-1], buckets)
 
     # The first (total mod buckets) buckets hold one row more than the others.
     bucket = F.expr(f"""
-        CASE WHEN _place < (_total % {buckets}) * (_total div {buckets} + 1)
-             THEN _place div (_total div {buckets} + 1)
-             ELSE _total % {buckets}
-                  + (_place - (_total % {buckets}) * (_total div {buckets} + 1))
-                    div nullif(_total div {buckets}, 0)
+        CASE WHEN _place < {larger * (small + 1)} THEN _place div {small + 1}
+             ELSE {larger} + (_place - {larger * (small + 1)}) div {max(small, 1)}
         END + 1""")
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn("_place", F.col("_before") + F.col("_slot").bitwiseAND(PLACE_MASK))
+        ranged.withColumn("_place", F.get(F.lit(before), F.col("_range").cast("int")) + F.col("_slot").bitwiseAND(PLACE_MASK))
         .withColumn(alias, bucket.cast("int"))
-        .drop("_range", "_slot", "_before", "_total", "_place")
+        .drop("_range", "_slot", "_place")
     )
