@@ -1,4 +1,4 @@
-"""File writers. All overwrite what was at the path."""
+"""File writers. All replace what was at the path, once the new rows are whole."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 from terracelake.session import stored
+from terracelake.sinks.swap import replaced
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    with replaced(df.sparkSession, path) as (new,):
+        df.write.parquet(new)
 
 
 def write_partitioned(df: DataFrame, path: str, *keys: str, keep_others: bool = False,
@@ -21,13 +23,16 @@ def write_partitioned(df: DataFrame, path: str, *keys: str, keep_others: bool =
     one per task; rebalancing splits a large key into several files of the
     advisory partition size, written by several tasks. ``gather=False`` saves this
     shuffle where each task has few keys already. By default the whole table is
-    replaced; ``keep_others`` leaves partitions that are not in ``df`` alone.
+    replaced; ``keep_others`` leaves partitions that are not in ``df`` alone, and Spark moves
+    the others in when all tasks are done.
     """
-    mode = "dynamic" if keep_others else "static"
     if gather:
         df = df.hint("rebalance", *keys)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-     .partitionBy(*keys).parquet(path))
+    if keep_others:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    else:
+        with replaced(df.sparkSession, path) as (new,):
+            df.write.partitionBy(*keys).parquet(new)
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_file: bool = True,
@@ -39,12 +44,17 @@ def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_
     parallel, which hold the rows in order of the files' names. ``hidden`` columns are
     there to sort by and are not written.
     """
+    with replaced(df.sparkSession, path) as (new,):
+        _csv(df, new, order_by, single_file, hidden)
+
+
+def _csv(df: DataFrame, path: str, order_by: Sequence[Column], single_file: bool, hidden: Sequence[str]) -> None:
     if not single_file:
         df = df.orderBy(*order_by) if order_by else df
     else:
         df = df.coalesce(1)
         df = df.sortWithinPartitions(*order_by) if order_by else df
-    df.drop(*hidden).write.mode("overwrite").option("header", True).option("sep", "|").csv(path)
+    df.drop(*hidden).write.option("header", True).option("sep", "|").csv(path)
 
 
 def publish(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_file: bool = True,
@@ -52,10 +62,12 @@ def publish(df: DataFrame, path: str, order_by: Sequence[Column] = (), single_fi
     """Stores a result under ``path`` twice: as ``parquet/`` and as ``csv/``.
 
     The query runs once; the text is made from stored rows. ``hidden`` columns only order
-    the text.
+    the text. Both are replaced when both are whole, so they never tell different results.
     """
+    spark = df.sparkSession
     rows = stored(df, "published") if hidden else df
-    write_parquet(rows.drop(*hidden), f"{path}/parquet")
-    if not hidden:
-        rows = df.sparkSession.read.parquet(f"{path}/parquet")
-    write_csv(rows, f"{path}/csv", order_by, single_file, hidden)
+    with replaced(spark, f"{path}/parquet", f"{path}/csv") as (parquet, text):
+        rows.drop(*hidden).write.parquet(parquet)
+        if not hidden:
+            rows = spark.read.schema(df.schema).parquet(parquet)
+        _csv(rows, text, order_by, single_file, hidden)
