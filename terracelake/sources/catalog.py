@@ -5,13 +5,19 @@ from __future__ import annotations
 import logging
 import re
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
 
+# Folders listed at a time, and partitions added by one statement.
+LISTERS, BATCH = 16, 500
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 CSV_OPTIONS = {"header": "true", "inferSchema": "true"}
 
 
@@ -58,8 +64,8 @@ def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
     in lower case and with ``_`` for characters that a table name cannot have.
 
     Run it again after new data has come: new columns are added, changed types are
-    updated, new partitions are picked up. Columns and folders that have gone are
-    logged and stay registered. ``merge_schema`` looks at every Parquet footer
+    updated, new partitions are picked up (see ``add_new_partitions``). Columns, partitions and
+    folders that have gone are logged and stay registered. ``merge_schema`` looks at every Parquet footer
     for new columns, in a distributed job; leave it off where the files of a
     folder are known to agree.
 
@@ -91,7 +97,7 @@ def register_tables(spark: SparkSession, root: str, database: str, prefix: str,
 
 def _register(spark: SparkSession, database: str, table: str, path: str, source: str,
               options: dict[str, str], move: bool) -> None:
-    name = f"`{database}`.`{table}`"
+    name, moved = f"`{database}`.`{table}`", False
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=source, schema=None, **options)
     else:
@@ -103,9 +109,69 @@ def _register(spark: SparkSession, database: str, table: str, path: str, source:
                 raise ValueError(f"it lies at {place}, not at {path}")
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{_escaped(path)}'")
             spark.catalog.refreshTable(name)
+            moved = True
         _update_columns(spark, database, table, path, source, options)
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    add_new_partitions(spark, name, moved)
+
+
+def add_new_partitions(spark: SparkSession, name: str, moved: bool = False) -> int:
+    """Adds the partitions of an external table that its folder has and the catalog doesn't; returns how many.
+
+    Only folders are listed, down to the last partition column and many at a time, no data
+    files, and the catalog is only told what is new, BATCH partitions by one statement. So a run that finds
+    nothing new changes nothing. Those whose folder has gone are logged and stay. With ``moved``, known
+    partitions are pointed to their folders under the place where the table is now.
+    """
+    own = [column for column in spark.catalog.listColumns(name) if column.isPartition]
+    columns, whole = [c.name for c in own], [c.dataType in ("tinyint", "smallint", "int", "bigint") for c in own]
+    if not columns:
+        return 0
+
+    def same(values: Sequence[str]) -> tuple[str, ...]:
+        """Folders may write 7 as 07; the catalog doesn't."""
+        return tuple(str(int(v)) if number and re.fullmatch(r"-?\d+", v) else v for v, number in zip(values, whole))
+
+    _, root = _kind_and_place(spark, name)
+    known = {_values(row["partition"]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    found = {same(values): path for values, path in partition_folders(spark, root, columns).items()}
+    for values in found.keys() & known if moved else ():
+        spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(columns, values)}) SET LOCATION '{_escaped(found[values])}'")
+    new = [values for values in found if values not in known]
+    for at in range(0, len(new), BATCH):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(
+            f"PARTITION ({_spec(columns, values)}) LOCATION '{_escaped(found[values])}'" for values in new[at:at + BATCH]))
+    if gone := known - found.keys():
+        log.warning("the folders of %d partitions of %s have gone; they are kept", len(gone), name)
+    return len(new)
+
+
+def _values(path: str) -> tuple[str, ...]:
+    """The values of a partition's path, ``a=1/b=x``, as they are written."""
+    return tuple(part.split("=", 1)[1] for part in path.split("/"))
+
+
+def _spec(columns: Sequence[str], values: Sequence[str]) -> str:
+    return ", ".join(f"`{column}` = " + ("NULL" if value == NO_VALUE else f"'{_escaped(unquote(value))}'")
+                     for column, value in zip(columns, values))
+
+
+def partition_folders(spark: SparkSession, root: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
+    """Values and path of each partition folder ``<column>=<value>/...`` under ``root``."""
+    same = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def inner(folder: tuple, column: str) -> list[tuple]:
+        values, path = folder
+        entries = [e.getPath() for e in files.listStatus(path) if e.isDirectory()]
+        parts = [(p.getName().split("=", 1), p) for p in entries]
+        return [((*values, part[1]), p) for part, p in parts if len(part) == 2 and same(part[0]) == same(column)]
+
+    folders = [((), top)]
+    with ThreadPoolExecutor(LISTERS) as pool:
+        for column in columns:
+            folders = [f for found in pool.map(inner, folders, [column] * len(folders)) for f in found]
+    return {values: path.toString() for values, path in folders}
 
 
 def _kind_and_place(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 from datetime import date
 from pathlib import Path
 
@@ -245,6 +246,94 @@ def test_register_again_after_changes(spark, tmp_path, database, caplog):
     assert "p_gone" in caplog.text
 
 
+def test_only_new_partitions_are_added(spark, tmp_path, database, monkeypatch, caplog):
+    from terracelake.sources import catalog
+    monkeypatch.setattr(catalog, "BATCH", 2)
+    data = tmp_path / "silver/t"
+    values = [(0, 1, "a"), (1, 1, "b/c = 'd'"), (2, 2, "a"), (3, None, "é"), (4, 3, None)]
+    kinds = "n int, y int, k string"
+    spark.createDataFrame(values, kinds).write.partitionBy("y", "k").parquet(str(data))
+    (name,) = register(spark, tmp_path / "silver", database)
+    assert sorted(rows(spark.table(name)), key=repr) == sorted(values, key=repr)
+
+    told = []
+    real = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (told.append(text), real(self, text, *a, **b))[1])
+    added = lambda: sum(t.count("PARTITION (") for t in told if " ADD IF NOT EXISTS" in t)
+    register(spark, tmp_path / "silver", database)
+    assert added() == 0 and sources.add_new_partitions(spark, name) == 0
+    more = [(5, 2, "new"), (6, 2, "x"), (7, 9, "new"), (8, 1, "a")]
+    spark.createDataFrame(more, kinds).write.mode("append").partitionBy("y", "k").parquet(str(data))
+    (data / "y=2/other=1").mkdir()
+    (data / "y=07/k=q").mkdir(parents=True)
+    register(spark, tmp_path / "silver", database)
+    assert added() == 4 and sum(" ADD IF NOT EXISTS" in t for t in told) == 2
+    assert sources.add_new_partitions(spark, name) == 0
+    assert sorted(rows(spark.table(name)), key=repr) == sorted(values + more, key=repr)
+
+    shutil.rmtree(data / "y=9")
+    assert sources.add_new_partitions(spark, name) == 0 and "have gone" in caplog.text
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 9
+
+
+def test_partitions_move_with_their_table(spark, tmp_path, database):
+    for folder, extra in (("one", 0), ("two", 10)):
+        spark.range(extra, extra + 4).withColumn("k", F.col("id") % 2).write.partitionBy("k").parquet(str(tmp_path / folder / "t"))
+    (name,) = register(spark, tmp_path / "one", database)
+    register(spark, tmp_path / "two", database, move=True)
+    assert sorted(r.id for r in spark.table(name).collect()) == [10, 11, 12, 13]
+
+
+def failing(spark):
+    """Rows of which the last can't be made."""
+    return spark.range(0, 4000, 1, 8).select(F.col("id"), (F.col("id") % 3).alias("k"), F.expr("if(id = 3999, raise_error('no'), 'x')").alias("t"))
+
+
+@pytest.mark.parametrize("write", [
+    lambda df, path: sinks.write_parquet(df, path), lambda df, path: sinks.write_partitioned(df, path, "k"),
+    lambda df, path: sinks.write_partitioned(df, path, "k", keep_others=True),
+    lambda df, path: sinks.write_csv(df, path), lambda df, path: sinks.write_csv(df, path, single_file=False),
+    lambda df, path: sinks.publish(df, path), lambda df, path: sinks.publish(df, path, hidden=["k"]),
+])
+def test_a_failing_task_leaves_the_old_rows(spark, tmp_path, write):
+    path = str(tmp_path / "layer/t")
+    with pytest.raises(Exception, match="no"):
+        write(failing(spark), path)
+    assert not any(p.is_file() and not p.name.startswith((".", "_")) for p in tmp_path.rglob("*"))
+    write(failing(spark).filter("id < 500"), path)
+
+    def held():
+        return {str(p): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith((".", "_"))}
+    before = held()
+    with pytest.raises(Exception, match="no"):
+        write(failing(spark), path)
+    assert held() == before and before
+    write(failing(spark).filter("id < 20"), path)
+    assert 0 < len(held()) and held() != before
+    assert [p for p in tmp_path.rglob(".*") if p.is_dir()] == []
+
+
+def test_folders_that_cannot_be_moved_come_back(spark, tmp_path, monkeypatch):
+    from terracelake.sinks import swap
+    paths = [str(tmp_path / name) for name in ("a", "b", "c")]
+    for path in paths[:2]:
+        spark.range(3).write.parquet(path)
+    real, moves = swap._move, []
+
+    def broken(files, source, target):
+        moves.append(target.getName())
+        if moves.count("b") == 1 and target.getName() == "b":
+            raise OSError("no room")
+        real(files, source, target)
+    monkeypatch.setattr(swap, "_move", broken)
+    with pytest.raises(OSError, match="no room"):
+        with swap.replaced(spark, *paths) as new:
+            for folder in new:
+                spark.range(9).write.parquet(folder)
+    assert [spark.read.parquet(path).count() for path in paths[:2]] == [3, 3]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+
+
 def test_register_updates_changed_types_and_keeps_gone_columns(spark, tmp_path, database):
     data = str(tmp_path / "silver/t")
     spark.createDataFrame([(1, "x")], "n int, old string").write.parquet(data)
