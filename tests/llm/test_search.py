@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ from terracelake.llm import nearest as nearest_module
 from terracelake.llm import quality
 from terracelake.llm.common import store
 from terracelake.llm.decontaminate import aligned, words_of
-from terracelake.llm.licenses import PHRASES, TEMPLATES, scan_licenses
+from terracelake.llm.licenses import MODIFIERS, NAMES, PHRASES, SHORT, TEMPLATES, scan_licenses
 from terracelake.llm.nearest import nearest
 from terracelake.llm.quality import judge
 from terracelake.llm.queries import ORACLE_SQL, QUERIES
@@ -120,23 +121,32 @@ def test_int8_bounds_leave_few_pairs(monkeypatch):
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def brute_notices(words, threshold=0.8):
+    """label -> largest share of a template's words in a run of words as long as it, or a quarter longer."""
+    found = {}
+    for label, notice in TEMPLATES:
+        own = WORD.findall(notice.translate(LOWER))
+        tokens = set(own)
+        whole = len(tokens) < SHORT
+        need, width = (len(tokens), len(own)) if whole else (int(np.ceil(len(tokens) * threshold)), int(np.ceil(len(own) / threshold)))
+        if len(tokens & set(words)) < need:
+            continue
+        for i in range(len(words)):
+            block = set(words[i:i + width])
+            if len(tokens & block) >= need and not (tokens & set(NAMES)) - block and not block & (set(MODIFIERS) - tokens):
+                found[label] = max(found.get(label, 0), len(tokens & block) / len(tokens))
+    return found
+
+
 def brute_licenses(text, threshold=0.8):
     words = WORD.findall((text or "").translate(LOWER))
     places = [(i, label) for phrase, label in PHRASES.items() for i in range(len(words))
               if words[i:i + len(phrase.split())] == phrase.split()]
     base = sorted({label for _, label in places})
-    labels, share = set(base), 0.0
-    for line in (text or "").split("\n"):
-        own = set(WORD.findall(line.translate(LOWER)))
-        for label, notice in TEMPLATES:
-            tokens = set(WORD.findall(notice.translate(LOWER)))
-            shared = len(tokens & own)
-            if shared >= int(np.ceil(len(tokens) * threshold)):
-                labels.add(label)
-                share = max(share, shared / len(tokens))
+    found = brute_notices(words, threshold)
     starts = [i for i, _ in places]
-    return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(sorted(labels)),
-            1.0 if places else share)
+    return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(sorted({*base, *found})),
+            1.0 if places else max(found.values(), default=0.0))
 
 
 def our_licenses(docs):
@@ -155,6 +165,25 @@ def test_licenses(spark):
     assert scan_licenses(docs.limit(0)).collect() == []
 
 
+def test_labels_of_the_table_are_its_notices(spark):
+    """The table's notices are four sentences; each gives one label."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    notices = {"Licensed under the Apache License, Version 2.0": "apache", "Released under the MIT License": "mit",
+               "GNU General Public License, version 3": "gpl", "Licensed under CC BY-NC 4.0": "cc-by-nc"}
+    want = {r.doc_id: ",".join(sorted({label for notice, label in notices.items() if notice in r.text})) for r in docs.collect()}
+    got = {r.doc_id: r.labels for r in scan_licenses(docs).collect()}
+    assert got == want and sum(map(bool, got.values())) >= 39
+
+
+def test_a_long_line(spark):
+    clause = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    rows = [(1, clause * 5000), (2, "mit license " * 20_000), (3, "plain words " * 50_000 + clause), (4, "gnu " * 100_000)]
+    start = time.time()
+    got = {r.doc_id: (r.n_words, r.labels, r.score) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {1: (105_000, "bsd", 1.0), 2: (40_000, "mit", 1.0), 3: (100_021, "bsd", 1.0), 4: (100_000, "", 0.0)}
+    assert time.time() - start < 60
+
+
 def test_licenses_of_the_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert our_licenses(docs) == sorted(repr((r.doc_id, *brute_licenses(r.text))) for r in docs.collect())
