@@ -103,21 +103,23 @@ class Head:
         return self.offset + sum(self.weights[f] for f in own if f in self.weights)
 
 
-def fit(rows: Sequence[np.ndarray], bad: np.ndarray, prior: float) -> Head:
-    """Logistic regression by Newton's method on the features with the highest G statistic."""
-    n, p = len(bad), float(bad.sum())
-    if p == 0 or p == n:
-        return Head({}, 0.0, prior)
-    columns = np.concatenate(rows)
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
-    a = np.bincount(columns, bad[at].astype(float), FEATURES)
-    t = np.bincount(columns, minlength=FEATURES).astype(float)
+def selected(a: np.ndarray, t: np.ndarray, p: float, n: float) -> np.ndarray:
+    """The features with the highest G statistic, in ascending order. a, t: texts of the p bad and of all n that have each."""
 
     def h(x):
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-12)), 0)
     g = 2 * (h(a) + h(t - a) + h(p - a) + h(n - p - t + a) - h(t) - h(n - t) - h(p) - h(n - p) + h(float(n)))
     chosen = np.argsort(-g, kind="stable")[:SELECTED]
-    chosen = np.sort(chosen[g[chosen] > LEAST_G])
+    return np.sort(chosen[g[chosen] > LEAST_G])
+
+
+def fit(rows: Sequence[np.ndarray], bad: np.ndarray, chosen: np.ndarray, prior: float) -> Head:
+    """Logistic regression by Newton's method on the ``chosen`` features. ``rows``: these features of each text."""
+    n, p = len(bad), float(bad.sum())
+    if p == 0 or p == n:
+        return Head({}, 0.0, prior)
+    columns = np.concatenate(rows)
+    at = np.repeat(np.arange(n), [len(r) for r in rows])
     place = np.full(FEATURES, -1)
     place[chosen] = np.arange(len(chosen))
     x = np.zeros((n, len(chosen) + 1), np.float32)
@@ -157,25 +159,36 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, Head]:
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = WordFeatures()
         for batch in batches:
-            found = [np.sort(np.array(list(features(text, own)), "<i4")).tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("kind"), pa.array(found, pa.binary())], ["kind", "features"])
+            found = [np.sort(np.array(list(features(text, own)), np.int32)) for text in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("kind"), pa.array(found, pa.list_(pa.int32()))], ["kind", "features"])
 
-    rows = (
+    rows = store(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
         .join(F.broadcast(sample), "doc_id")  # at most sum(SAMPLE.values()) rows
         # However often a labelled document is repeated in the table, it is fitted to once.
         .groupBy("doc_id").agg(F.first("kind").alias("kind"), F.min("text").alias("text"))
-        .select("kind", "text").mapInArrow(featured, "kind string, features binary")
-    ).toArrow()
-    kind = np.array(rows.column("kind").to_pylist(), object)
-    vectors = [np.frombuffer(f, "<i4") for f in rows.column("features").to_pylist()]
+        .select("kind", "text").mapInArrow(featured, "kind string, features array<int>"), "sample_features")
+    # Counts of at most FEATURES features come to the driver, and of the texts only what is selected.
+    held = rows.select("kind", F.explode("features").alias("feature")).groupBy("feature").agg(
+        *(F.count_if(F.col("kind") == kind).alias(kind) for kind in SAMPLE)).toArrow()
+    texts = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    have = {}
+    for kind in SAMPLE:
+        have[kind] = np.zeros(FEATURES)
+        have[kind][held.column("feature").to_numpy()] = held.column(kind).to_numpy()
     counts = {r["kind"]: r["n"] for r in kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     heads = {}
     for head in HEADS:
-        use = np.flatnonzero((kind == head) | (kind == "clean"))
+        p, n = texts.get(head, 0), texts.get(head, 0) + texts.get("clean", 0)
+        chosen = selected(have[head], have[head] + have["clean"], float(p), float(n)) if 0 < p < n else np.zeros(0, np.int64)
+        used = rows.filter(F.col("kind").isin(head, "clean")).select(
+            "kind", F.array_intersect("features", F.array(*map(F.lit, chosen.tolist())).cast("array<int>")).alias("features"))
+        used = used.toArrow() if len(chosen) else None
+        kind = used.column("kind").to_pylist() if used else [head] * p + ["clean"] * (n - p)
+        vectors = [np.array(v, np.int64) for v in used.column("features").to_pylist()] if used else [np.zeros(0, np.int64)] * n
         prior = counts.get(head, 0) / total if total else 0.0
-        heads[head] = fit([vectors[i] for i in use], (kind[use] == head).astype(float), prior)
+        heads[head] = fit(vectors, np.array([k == head for k in kind], float), chosen, prior)
     return heads
 
 
