@@ -179,3 +179,59 @@ def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     return verified_manifest(table(spark, d, "documents"), {"text": F.when(chosen, lower).otherwise(F.col("text"))})
+
+
+# The checksum is worked out bit by bit: 0xEDB88320 is its polynomial.
+ORACLE_SQL["op13_merkle_manifest"] = r"""
+    WITH RECURSIVE docs AS (
+      SELECT row_number() OVER () AS r, doc_id, source, text,
+             [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS fields,
+             xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+               lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))),
+               lambda c, b: xor(xor(c, b) // 2, 3988292384 * (xor(c, b) % 2))), 4294967295) % 5 = 0 AS chosen
+      FROM documents),
+    texts AS (
+      SELECT r, doc_id, source, list_append(fields, text) AS own, list_append(fields, CASE WHEN chosen THEN
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END) AS held FROM docs),
+    hashes AS (
+      SELECT r, doc_id, source,
+             sha256(array_to_string(list_transform(own, lambda v: CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END), '')) AS leaf,
+             sha256(array_to_string(list_transform(held, lambda v: CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END), '')) AS held
+      FROM texts),
+    leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS no,
+             count(*) OVER (PARTITION BY source) AS n FROM hashes),
+    nodes AS (
+      SELECT source, 0 AS level, no, n, leaf AS h FROM leaves
+      UNION ALL
+      SELECT source, level + 1, no // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY no))
+      FROM nodes WHERE n > 1 GROUP BY source, level, no // 16),
+    runs AS (
+      SELECT source, level, no // 16 AS run, list(h ORDER BY no) AS children FROM nodes WHERE n > 1 GROUP BY source, level, no // 16),
+    subroots AS (
+      SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS no, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    tops AS (
+      SELECT 0 AS level, no, n, subroot AS h FROM subroots
+      UNION ALL
+      SELECT level + 1, no // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY no)) FROM tops WHERE n > 1 GROUP BY level, no // 16),
+    top_runs AS (SELECT level, no // 16 AS run, list(h ORDER BY no) AS children FROM tops WHERE n > 1 GROUP BY level, no // 16),
+    climb AS (
+      SELECT r, source, 0 AS level, no, held AS folded, '' AS proof FROM leaves
+      UNION ALL
+      SELECT c.r, c.source, c.level + 1, c.no // 16,
+             sha256(array_to_string(children[1:c.no % 16], '') || folded || array_to_string(children[c.no % 16 + 2:], '')),
+             proof || array_to_string(children[1:c.no % 16], '') || array_to_string(children[c.no % 16 + 2:], '')
+      FROM climb c JOIN runs u ON c.source IS NOT DISTINCT FROM u.source AND c.level = u.level AND c.no // 16 = u.run),
+    reached AS (SELECT r, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM climb GROUP BY r),
+    top_climb AS (
+      SELECT l.r, 0 AS level, s.no, a.folded, a.proof
+      FROM leaves l JOIN reached a ON l.r = a.r JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+      UNION ALL
+      SELECT c.r, c.level + 1, c.no // 16,
+             sha256(array_to_string(children[1:c.no % 16], '') || folded || array_to_string(children[c.no % 16 + 2:], '')),
+             proof || array_to_string(children[1:c.no % 16], '') || array_to_string(children[c.no % 16 + 2:], '')
+      FROM top_climb c JOIN top_runs u ON c.level = u.level AND c.no // 16 = u.run),
+    finished AS (SELECT r, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM top_climb GROUP BY r)
+    SELECT l.doc_id, l.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.folded AS folded_root, f.folded = t.h AS verified
+    FROM leaves l JOIN finished f ON l.r = f.r JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+    JOIN tops t ON t.n = 1"""
