@@ -11,11 +11,14 @@ at their ends.
    the current word is written out, and random bits, which depend on the step and the word, say
    whether to go on to the next word. Sequences that are a few edits apart fall back into step,
    so their embeddings agree in many places.
-3. Each repetition has its own walk and samples ``SAMPLED`` places of the embedding. A window
-   and an item of its length that agree in all sampled places of any repetition are a
-   candidate pair.
+3. Each repetition has its own walk and samples ``SAMPLED`` places of the embedding, whose
+   letters are its key. A window and an item of its length that have the key of any repetition
+   in common are a candidate pair.
 4. Candidates are verified by an exact alignment of the item with the text around.
 
+Documents are read once, however many items there are: a task has maps of fixed size of the items'
+words, runs and keys, and what passes them is joined to the table of keys by Spark.
+
 Equal sequences have equal embeddings and are always found. For the greatest distance allowed
 tests/llm measures the recall, which ``REPETITIONS`` sets.
 """
@@ -24,25 +27,28 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracelake.llm.common import prepare, text_of
+from terracelake.llm.bitmaps import bitmap, on_map
+from terracelake.llm.common import prepare, store, text_of
 
 REPETITIONS = 16
 SAMPLED = 2
-# Words of a document's chunk that one worker remembers; emptied when full.
+# Chunks of text that one worker remembers; emptied when full.
 REMEMBERED = 300_000
-# Items are handled in blocks of about this many words, each in a pass of its own.
-BLOCK_WORDS = 1_000_000
+# Bits of each of the three maps that every task has, 4 MB. With more items than fit, more windows pass.
+MAP_BITS = 1 << 25
 # Chunks of text looked at together.
 TOGETHER = 1 << 19
+# Letters that stand for a word of no item, and for what is beyond the end of a text.
+UNKNOWN, END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
-MATCH = "doc_id long, item_id long, n_words int, distance int, similarity double, first_word long, last_word long"
 EDGE = string.punctuation + "“”‘’«»…–—¿¡"
 
 
@@ -51,66 +57,55 @@ def words_of(text: str) -> list[str]:
     return [w for w in (chunk.strip(EDGE).lower() for chunk in text.split()) if w]
 
 
-class Ids(dict):
-    """Chunk -> number of its word in the items, 0 for words of no item, -1 for no word."""
+def letter(word: str) -> int:
+    return xxhash.xxh64_intdigest(word, 7) | 1
+
+
+class Letters(dict):
+    """Chunk -> the letter of its word, UNKNOWN for words that aren't on the items' map, 0 for no word."""
 
-    def __init__(self, vocabulary: dict[str, int]):
+    def __init__(self, known: np.ndarray):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.known = known
 
     def __missing__(self, chunk: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
         word = chunk.strip(EDGE).lower()
-        number = self.vocabulary.get(word, 0) if word else -1
+        number = letter(word) if word else 0
+        if word and not on_map(self.known, np.array([number], np.uint64))[0]:
+            number = UNKNOWN
         if len(chunk) <= 64:
             self[chunk] = number
         return number
 
 
 @dataclass
-class Items:
-    """Everything a task needs of one block of items."""
+class Sieve:
+    """The random numbers of the embedding, which only depend on the lengths of the items."""
 
-    ids: list[int]
-    words: list[np.ndarray]
-    vocabulary: dict[str, int]
+    lengths: np.ndarray  # distinct numbers of words, ascending
     similarity: float
-    lengths: np.ndarray = field(init=False)  # distinct numbers of words
 
     def __post_init__(self):
         random = np.random.default_rng(7)
-        self.lengths = np.unique([len(w) for w in self.words])
+        longest = int(self.lengths[-1])
         self.slack = np.array([self.edits(n) for n in self.lengths])
-        steps = 2 * int(self.lengths[-1])
         odd = lambda *shape: random.integers(0, 1 << 63, shape, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.letter = odd(len(self.vocabulary) + 2)  # the last one stands for the end
-        self.walk = odd(steps, REPETITIONS, 1)
+        self.walk = odd(2 * longest, REPETITIONS, 1)
         self.places = random.random((SAMPLED, REPETITIONS))
         self.mix = odd(SAMPLED, 1, 1)
-        self.here = np.zeros(len(self.vocabulary) + 2, bool)
-        self.grams = odd(int(self.lengths[-1]))
-        self.runs = {}
-        for n in self.lengths.tolist():
-            self.runs.setdefault(n // (self.edits(n) + 1), []).extend(w for w in self.words if len(w) == n)
-        self.runs = {q: np.unique(np.concatenate([self.run_hashes(w, q) for w in own])) for q, own in self.runs.items()}
-        self.by_length, self.keys = {}, {}
-        for n in self.lengths.tolist():
-            own = [i for i, w in enumerate(self.words) if len(w) == n]
-            text = np.full((len(own), steps + n), len(self.vocabulary) + 1)
-            text[:, :n] = [self.words[i] for i in own]
-            starts = np.arange(len(own)) * text.shape[1]
-            self.by_length[n] = np.array(own)
-            self.keys[n] = self.sampled(text.ravel(), starts, self.walks(text.ravel(), starts), n)
+        self.grams = odd(longest)
+        self.own, self.size = odd(REPETITIONS, 1), odd(1)[0]
+        self.run_lengths = np.unique(self.lengths // (self.slack + 1))
 
     def edits(self, n: int) -> int:
         return int((1 - self.similarity) * n + 1e-9)
 
-    def run_hashes(self, ids: np.ndarray, q: int) -> np.ndarray:
-        n = max(0, len(ids) - q + 1)
-        total = np.zeros(n, np.uint64)
+    def run_hashes(self, text: np.ndarray, at: np.ndarray, q: int) -> np.ndarray:
+        total = np.full(len(at), q, np.uint64) * self.size
         for i in range(q):
-            total += self.letter[ids[i:i + n]] * self.grams[i]
+            total += text[at + i] * self.grams[i]
         return total
 
     def walks(self, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -120,83 +115,69 @@ class Items:
         last = len(text) - 1
         for step, by in enumerate(self.walk):
             out[step] = at
-            letters = self.letter[text[np.minimum(starts + at, last)]]
-            at = at + ((letters * by) >> np.uint64(63)).astype(np.int32)
+            at = at + ((text[np.minimum(starts + at, last)] * by) >> np.uint64(63)).astype(np.int32)
         return out
 
-    def sampled(self, text: np.ndarray, starts: np.ndarray, walks: np.ndarray, n: int) -> np.ndarray:
-        """One key for each repetition and start, of the letters at the sampled places."""
+    def keys(self, text: np.ndarray, starts: np.ndarray, walks: np.ndarray, n: int) -> np.ndarray:
+        """One key for each repetition and start, of the letters at the sampled places of a window of n words."""
         steps = (self.places * 2 * n).astype(int)
-        total = np.zeros(walks.shape[1:], np.uint64)
+        total = np.full(walks.shape[1:], n, np.uint64) * self.size
         for place, mix in zip(steps, self.mix):
             at = walks[place, np.arange(REPETITIONS)]
-            letters = np.where(at < n, text[np.minimum(starts + at, len(text) - 1)], len(self.vocabulary) + 1)
-            total += self.letter[letters] * mix
-        return total
-
-    def seeds(self, ids: np.ndarray) -> np.ndarray:
-        """Places at which a run of words begins that stands in some item."""
+            total += np.where(at < n, text[np.minimum(starts + at, len(text) - 1)], np.uint64(END)) * mix
+        return total * self.own
+
+    def of_item(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Its runs and its keys."""
+        n = len(words)
+        q = n // (self.edits(n) + 1)
+        text = np.append(words, np.uint64(END))
+        start = np.zeros(1, np.int64)
+        return np.unique(self.run_hashes(words, np.arange(n - q + 1), q)), self.keys(text, start, self.walks(text, start), n)[:, 0]
+
+    def seeds(self, text: np.ndarray, runs: np.ndarray) -> np.ndarray:
+        """Places at which a run of words begins that is on the map of the items' runs."""
         found = [np.zeros(0, np.int64)]
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
-        for q, hashes in self.runs.items():
+        known = np.concatenate(([0], np.cumsum(known_words(text))))
+        for q in self.run_lengths.tolist():
             at = np.flatnonzero(known[q:] - known[:-q] == q)
-            total = np.zeros(len(at), np.uint64)
-            for i in range(q):
-                total += self.letter[ids[at + i]] * self.grams[i]
-            near = np.minimum(np.searchsorted(hashes, total), len(hashes) - 1)
-            found.append(at[hashes[near] == total])
+            found.append(at[on_map(runs, self.run_hashes(text, at, q))])
         return np.concatenate(found)
 
-    def matches(self, ids: np.ndarray, seeds: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, distance, first word, last word) of each item the document holds, in its best place."""
-        size, widest = len(ids), int(self.lengths[-1] + self.slack[-1])
+    def likely(self, text: np.ndarray, seeds: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """n, first and last word of a stretch, and its keys: stretches with windows of n words whose keys are on the map."""
+        size, widest = len(text), int(self.lengths[-1] + self.slack[-1])
         # A start lies at most a widest window before a seed, and never after it.
         mark = np.zeros(size + 1, np.int64)
         np.add.at(mark, np.maximum(0, seeds - widest), 1)
         np.add.at(mark, seeds + 1, -1)
         starts = np.flatnonzero(np.cumsum(mark)[:size] > 0)
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
+        known = np.concatenate(([0], np.cumsum(known_words(text))))
         wide = (self.lengths + self.slack)[:, None]
         enough = known[np.minimum(starts + wide, size)] - known[starts] >= (self.lengths - self.slack)[:, None]
         alive = enough.any(axis=0)
         starts, enough = starts[alive], enough[:, alive]
-        if not len(starts):
-            return []
-        text = np.concatenate((ids, np.full(widest, len(self.vocabulary) + 1)))
-        pairs = []
+        whole = np.concatenate((text, np.full(widest, END, np.uint64)))
+        found: dict[int, list[np.ndarray]] = {}
         for block in range(0, len(starts), 256):
             own, good = starts[block:block + 256], enough[:, block:block + 256]
-            walks = self.walks(text, own)
+            walks = self.walks(whole, own)
             for n, which in zip(self.lengths.tolist(), good):
                 at = np.flatnonzero(which)
                 if len(at):
-                    keys = self.sampled(text, own[at], walks[:, :, at], n)
-                    start, item = np.nonzero((keys[:, :, None] == self.keys[n][:, None, :]).any(axis=0))
-                    pairs.append(np.stack([self.by_length[n][item], own[at[start]]]))
-        item, place = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        first = np.flatnonzero(np.diff(item, prepend=-1))
-        out = []
-        for number, places in zip(item[first].tolist(), np.split(place, first[1:])):
-            if best := self.verified(number, places, ids):
-                out.append((number, *best))
-        return out
+                    mine = self.keys(whole, own[at], walks[:, :, at], n)
+                    hit, start = np.nonzero(on_map(keys, mine))
+                    if len(hit):
+                        found.setdefault(n, []).append(np.stack([own[at[start]].astype(np.uint64), mine[hit, start]]))
+        for n, parts in found.items():
+            place, key = np.unique(np.concatenate(parts, axis=1), axis=1)
+            k = self.edits(n)
+            for i in np.split(np.arange(len(place)), np.flatnonzero(np.diff(place) > n + k) + 1):
+                yield n, max(0, int(place[i[0]]) - k), min(size, int(place[i[-1]]) + n + k), np.unique(key[i])
 
-    def verified(self, item: int, places: np.ndarray, ids: np.ndarray) -> tuple[int, int, int] | None:
-        """Distance and span of the best alignment near the candidate starts, if it is close enough."""
-        words, k = self.words[item], self.edits(len(self.words[item]))
-        best = None
-        for own in np.split(places, np.flatnonzero(np.diff(places) > len(words) + k) + 1):
-            if not len(own):
-                continue
-            a, b = max(0, int(own[0]) - k), min(len(ids), int(own[-1]) + len(words) + k)
-            self.here[ids[a:b]] = True
-            shared = int(self.here[words].sum())
-            self.here[ids[a:b]] = False
-            if shared >= len(words) - k:
-                d, first, last = aligned(words, ids[a:b])
-                if d <= k and (best is None or d < best[0]):
-                    best = (d, a + first, a + last)
-        return best
+
+def known_words(text: np.ndarray) -> np.ndarray:
+    return (text != UNKNOWN) & (text != END)
 
 
 def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -218,96 +199,140 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
-def item_blocks(benchmark: DataFrame, similarity: float) -> Iterator[Items]:
-    """The items, block by block, so that no more than one block is on the driver or in a task."""
-    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-    words = own.agg(F.sum(F.size(F.split("text", " "))).alias("n")).first()["n"] or 0
-    blocks = -(-words // BLOCK_WORDS)
-    for block in range(blocks):
-        vocabulary, ids, numbers = {}, [], []
-        mine = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        for row in mine.distinct().collect():
-            found = words_of(row["text"])
-            if found:
-                ids.append(row["item_id"])
-                numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in found]))
-        if ids:
-            yield Items(ids, numbers, vocabulary, similarity)
-
-
-def _scanned(texts: list[str], items: Items, chunk_ids: Ids) -> Iterator[tuple[int, list]]:
-    """(which text, its matches) for the texts that hold an item."""
-    at = 0
-    while at < len(texts):
-        parts, ends, size = [], [], 0
-        while at + len(parts) < len(texts) and size < TOGETHER:
-            own = np.fromiter(map(chunk_ids.__getitem__, texts[at + len(parts)].split()), np.int64)
-            own = np.append(own[own >= 0], 0)  # no run of known words goes over an end
-            parts.append(own)
-            size += len(own)
-            ends.append(size)
-        every = np.concatenate(parts)
-        seeds = items.seeds(every)
-        where = np.searchsorted(ends, seeds, "right")
-        for i in np.unique(where).tolist():
-            start = ends[i] - len(parts[i])
-            if found := items.matches(parts[i][:-1], seeds[where == i] - start):
-                yield at + i, found
-        at += len(parts)
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """item (a number), item_id, n and words (letters) of every item that has words, stored. Equal rows are one item."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [np.array([letter(w) for w in words_of(t)], np.uint64).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("item_id"), pa.array([len(w) for w in words], pa.int32()), pa.array(words, pa.list_(pa.int64()))],
+                                  ["item_id", "n", "words"])
+
+    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).distinct()
+    return store(own.mapInArrow(make, "item_id long, n int, words array<long>").filter("n > 0")
+                 .withColumn("item", F.monotonically_increasing_id()), "items")
+
+
+def indexed(items: DataFrame, sieve: Sieve) -> DataFrame:
+    """item, words, runs, keys of every item, stored: the key table, and what goes on the maps."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [sieve.of_item(w.values.to_numpy().view(np.uint64)) for w in batch.column("words")]
+            numbers = [pa.array([x[i].view(np.int64) for x in made], pa.list_(pa.int64())) for i in (0, 1)]
+            yield pa.record_batch([batch.column("item"), batch.column("words"), *numbers], ["item", "words", "runs", "keys"])
+
+    return store(items.mapInArrow(make, "item long, words array<long>, runs array<long>, keys array<long>"), "item_index")
+
+
+def stretches(docs: DataFrame, sieve: Sieve, maps) -> DataFrame:
+    """row, doc_id, print, n, begin, words, keys of every stretch of text whose windows have a key that some item may have. Stored.
+
+    Documents are read once and never shuffled. A text is handled whole, whatever its length.
+    """
+
+    def scan(texts: list[str], letters: Letters) -> Iterator[tuple[int, list]]:
+        known, runs, keys = maps.value
+        at = 0
+        while at < len(texts):
+            parts, ends, size = [], [], 0
+            while at + len(parts) < len(texts) and size < TOGETHER:
+                own = np.fromiter(map(letters.__getitem__, texts[at + len(parts)].split()), np.uint64)
+                own = np.append(own[own > 0], np.uint64(END))  # no run of known words goes over an end
+                parts.append(own)
+                size += len(own)
+                ends.append(size)
+            seeds = sieve.seeds(np.concatenate(parts), runs)
+            where = np.searchsorted(ends, seeds, "right")
+            for i in np.unique(where).tolist():
+                text = parts[i][:-1]
+                for n, begin, end, own in sieve.likely(text, seeds[where == i] - (ends[i] - len(parts[i])), keys):
+                    yield at + i, n, begin, text[begin:end], own
+            at += len(parts)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters(maps.value[0])
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        for batch in batches:
+            found = list(scan(batch.column("text").to_pylist(), letters))
+            columns = [[f[1] for f in found], [f[2] for f in found], *([f[i].view(np.int64) for f in found] for i in (3, 4))]
+            of = pa.array([f[0] for f in found], pa.int64())
+            yield pa.record_batch([*(batch.column(c).take(of) for c in ("row", "doc_id", "print")), *map(pa.array, columns, kinds)],
+                                  ["row", "doc_id", "print", "n", "begin", "words", "keys"])
+
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64(text_of()).alias("print"), text_of().alias("text"))
+    return store(texts.mapInArrow(make, "row long, doc_id long, print long, n int, begin long, words array<long>, keys array<long>")
+                 .withColumn("stretch", F.monotonically_increasing_id()), "stretches")
+
+
+def verified(pairs: DataFrame, sieve: Sieve) -> DataFrame:
+    """The pairs (row, doc_id, print, begin, words of the stretch; item, item_id, n, item_words) that are near enough, with their spans."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, found = [], []
+            for i, (text, item, begin) in enumerate(zip(batch.column("words"), batch.column("item_words"), batch.column("begin").to_pylist())):
+                text, item = text.values.to_numpy(), item.values.to_numpy()
+                k = sieve.edits(len(item))
+                if np.isin(item, text).sum() >= len(item) - k:
+                    distance, first, end = aligned(item, text)
+                    if distance <= k:
+                        keep.append(i)
+                        found.append((distance, begin + first, begin + end - 1))
+            columns = [pa.array([f[c] for f in found], kind) for c, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+            yield pa.record_batch([*(batch.column(c).take(pa.array(keep, pa.int64())) for c in ("row", "doc_id", "print", "item", "item_id", "n")),
+                                   *columns], ["row", "doc_id", "print", "item", "item_id", "n", "distance", "first_word", "last_word"])
+
+    return pairs.mapInArrow(make, "row long, doc_id long, print long, item long, item_id long, n int, distance int, "
+                                  "first_word long, last_word long")
+
+
+def held_items(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame | None:
+    """row, doc_id, print, item, item_id, n, distance, first_word, last_word: each document and item it holds, in the item's best
+    place; None if there are no items."""
+    spark = prepare(docs.sparkSession)
+    items = items_of(benchmark)
+    lengths = np.array(sorted(r["n"] for r in items.select("n").distinct().collect()), np.int64)
+    if not len(lengths):
+        return None
+    sieve = Sieve(lengths, similarity)
+    index = indexed(items, sieve)
+    maps = spark.sparkContext.broadcast([
+        bitmap(index.select(F.explode(c).alias("number")), "number", MAP_BITS) for c in ("words", "runs", "keys")])
+    near = stretches(docs, sieve, maps)
+    keys = store(index.select(F.explode("keys").alias("key"), "item"), "item_keys")
+    pairs = store(near.select("stretch", F.explode("keys").alias("key")).join(keys, "key").select("stretch", "item").distinct(), "item_pairs")
+    whole = pairs.join(near.drop("keys", "n"), "stretch").join(items.withColumnRenamed("words", "item_words"), "item")
+    found = store(verified(whole, sieve), "found_items")
+    best = F.min(F.struct("distance", "first_word", "last_word", "doc_id", "print", "item_id", "n")).alias("best")
+    return found.groupBy("row", "item").agg(best).select("row", "item", "best.*")
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, n_words of the item, distance in
-    words, similarity (1 - distance / n_words), first_word and last_word of the best span.
-
-    Documents are read once for each block of items and never shuffled. A text is handled
-    whole, whatever its length.
+    words, similarity (1 - distance / n_words), first_word and last_word of the best span (of equally
+    near ones the first).
 
     Null and empty texts hold nothing; items without words are in no document. Null doc_ids
     and item_ids are kept. Rows with the same doc_id are looked at each for itself; items that are
     equal rows count once. Empty tables give no rows. Other columns are not read.
     """
-    spark = prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    out = spark.createDataFrame([], MATCH)
-    for items in item_blocks(benchmark, similarity):
-        shared = spark.sparkContext.broadcast(items)
-
-        def found(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = shared.value
-            chunk_ids, schema = Ids(items.vocabulary), _schema()
-            for batch in batches:
-                doc_ids, rows = batch.column("doc_id").to_pylist(), []
-                for i, own in _scanned(batch.column("text").to_pylist(), items, chunk_ids):
-                    for item, distance, first, end in own:
-                        n = len(items.words[item])
-                        rows.append((doc_ids[i], items.ids[item], n, distance, 1 - distance / n, first, end - 1))
-                if rows:
-                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    found = held_items(docs, benchmark, similarity)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], MATCH)
+    return found.select(
+        "doc_id", "item_id", F.col("n").alias("n_words"), "distance",
+        (1 - F.col("distance") / F.col("n")).alias("similarity"), "first_word", "last_word")
 
-        out = out.unionByName(texts.mapInArrow(found, MATCH))
-    return out
 
-
-def _schema() -> pa.Schema:
-    kinds = {"doc_id": pa.int64(), "item_id": pa.int64(), "n_words": pa.int32(), "distance": pa.int32(),
-             "similarity": pa.float64(), "first_word": pa.int64(), "last_word": pa.int64()}
-    return pa.schema(list(kinds.items()))
+MATCH = "doc_id long, item_id long, n_words int, distance int, similarity double, first_word long, last_word long"
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all columns, whose text holds no item; see ``find_items``."""
-    spark = prepare(docs.sparkSession)
-    for items in item_blocks(benchmark, similarity):
-        shared = spark.sparkContext.broadcast(items)
-
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            chunk_ids = Ids(shared.value.vocabulary)
-            for batch in batches:
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                keep = np.ones(len(texts), bool)
-                keep[[i for i, _ in _scanned(texts, shared.value, chunk_ids)]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+    found = held_items(docs, benchmark, similarity)
+    if found is None:
+        return docs
+    texts = store(found.select(F.col("print").alias("_dc_print")).distinct(), "texts_with_items")
+    return docs.withColumn("_dc_print", F.xxhash64(text_of())).join(texts, "_dc_print", "left_anti").select(docs.columns)

@@ -14,9 +14,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terracelake.llm import simhash
+from terracelake.llm import decontaminate, simhash
 from terracelake.llm.components import smallest_reachable
-from terracelake.llm.decontaminate import Items, aligned, find_items, without_items, words_of
+from terracelake.llm.decontaminate import Sieve, aligned, find_items, without_items, words_of
 from terracelake.llm.line_dedup import drop_shared_lines
 from terracelake.llm.simhash import bucket_links, fingerprint, links, near_duplicates, representatives
 
@@ -253,23 +253,59 @@ def edited(source, words, k):
     return out
 
 
+def all_on_map(numbers):
+    whole = np.zeros(decontaminate.MAP_BITS // 8, np.uint8)
+    at = np.array(numbers, np.uint64) % np.uint64(decontaminate.MAP_BITS)
+    np.bitwise_or.at(whole, (at >> np.uint64(3)).astype(int), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+    return whole
+
+
 def test_recall_at_the_greatest_distance():
     """Windows that are as far from the item as is allowed must be found in at least 95 of 100 cases."""
     source = random.Random(2)
     items = [[f"w{source.randint(0, 400)}" for _ in range(n)] for n in range(15, 60) for _ in range(4)]
-    vocabulary = {}
-    numbers = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]) for words in items]
-    own = Items(list(range(len(items))), numbers, vocabulary, 0.8)
+    sieve = Sieve(np.unique([len(w) for w in items]), 0.8)
+    letters = [np.array([decontaminate.letter(w) for w in words], np.uint64) for words in items]
+    made = [sieve.of_item(x) for x in letters]
+    known, runs, keys = (all_on_map(np.concatenate(x)) for x in (letters, [r for r, _ in made], [k for _, k in made]))
+    read = decontaminate.Letters(known)
     found = 0
     for i, words in enumerate(items):
         around = [f"w{source.randint(0, 800)}" for _ in range(120)]
-        text = around[:60] + edited(source, words, own.edits(len(words))) + around[60:]
-        ids = np.array([vocabulary.get(w, 0) for w in text])
-        seeds = own.seeds(np.append(ids, 0))
-        found += any(m[0] == i for m in own.matches(ids, seeds)) if len(seeds) else 0
+        text = around[:60] + edited(source, words, sieve.edits(len(words))) + around[60:]
+        own = np.array([read[w] for w in text], np.uint64)
+        seeds = sieve.seeds(np.append(own, np.uint64(decontaminate.END)), runs)
+        for n, begin, end, hits in sieve.likely(own, seeds, keys) if len(seeds) else ():
+            if n == len(words) and set(hits.tolist()) & set(made[i][1].tolist()) and aligned(letters[i], own[begin:end])[0] <= sieve.edits(n):
+                found += 1
+                break
     assert found >= 0.95 * len(items)
 
 
+def test_documents_are_scanned_once(spark, monkeypatch):
+    """Also where the items are far more than the maps have bits for."""
+    monkeypatch.setattr(decontaminate, "MAP_BITS", 1 << 15)
+    source = random.Random(6)
+    items = [(i, " ".join(f"v{source.randint(0, 5000)}" for _ in range(20 + i % 3))) for i in range(900)]
+    rows = [(i, " ".join(f"v{source.randint(0, 5000)}" for _ in range(300)) + (" " + items[i][1] if i % 4 == 0 else "")) for i in range(120)]
+    scans = []
+    real = decontaminate.stretches
+    monkeypatch.setattr(decontaminate, "stretches", lambda *a: (scans.append(a[0]), real(*a))[1])
+    found = find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(0, 120, 4)} and len(scans) == 1
+
+
+def test_a_very_long_text(spark):
+    source = random.Random(9)
+    items = [(i, " ".join(f"w{source.randint(0, 50)}" for _ in range(30))) for i in range(20)]
+    words = [f"z{source.randint(0, 10 ** 6)}" for _ in range(150_000)]
+    words[90_000:90_000] = edited(source, items[3][1].split(), 4)
+    rows = [(1, " ".join(words)), (2, (items[5][1] + " ") * 2000), (3, "w1 " * 100_000)]
+    got = {(r.doc_id, r.item_id) for r in find_items(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                                   spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 3), (2, 5)}
+
+
 def test_items_in_documents(spark):
     source = random.Random(4)
     items = [(i, " ".join(f"item{source.randint(0, 300)}" for _ in range(n))) for i, n in enumerate((12, 20, 30, 3, 1))]
