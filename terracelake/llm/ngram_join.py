@@ -6,12 +6,13 @@ which some pair can reach the similarity.
 
 1. Columns are ordered by the number of documents that hold the n-gram's rarest word, which no
    n-gram can exceed, and then by hash. The intersection of a pair that links has at least
-   ``percent`` of either set, so the pair shares a column among the first ones of both rows: a
-   row's ``lead``, about a tenth of it at 90 percent. Any order is right; this one keeps passages
-   that many texts share out of the leads.
+   ``percent`` of either set, so the pair shares columns among the first ones of both rows, their
+   ``leads``: with ``c`` more columns than may be missing a lead holds the first c columns that the pair
+   shares. Rows with fewer columns in common with all others go. Any order is right; this one
+   keeps passages that many texts share out of the leads.
 2. Rows are gathered in blocks: by the most frequent column of their leads and by size class (rows
    of classes further apart than one are too unlike in size), and divided where there are many.
-3. A tile is a pair of blocks that share a column in the leads of two of their rows. Overlaps are
+3. A tile is a pair of blocks that share as many columns in their leads as two rows have to. Overlaps are
    accumulated column by column, frequent columns by dense products and rare ones entry by
    entry. Before and between, pairs go that can't reach the overlap their sizes ask for.
 
@@ -30,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracelake.llm.bitmaps import bitmap, on_map
 from terracelake.llm.common import prepare, store, text_of
 from terracelake.llm.components import smallest_reachable
 
@@ -39,6 +41,10 @@ LISTED, LONGEST = 1 << 17, 64
 REMEMBERED, COUNTED = 300_000, 500_000
 # Rows of a block, and about how many entries it may have.
 BLOCK, ENTRIES = 512, 1 << 20
+# Of so many columns of a row one more is in its lead, and has to be shared.
+EXTRA = 10
+# Bits of the maps that every task has, 16 MB: of shared columns, and of texts whose sets are wanted.
+MAP_BITS = 1 << 27
 # A column with more pairs than this in a tile is multiplied densely, so many columns at a time.
 DENSE, WIDTH = 64, 2048
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
@@ -84,9 +90,19 @@ class Words(dict):
         return grams, rarest[first]
 
 
+def required(n: int) -> int:
+    """Columns that the leads of two rows of at least n share, if the rows link."""
+    return 1 + n // EXTRA
+
+
 def lead_length(n: int, percent: int) -> int:
-    """So many first columns of a row of n hold one that it shares with whatever links to it."""
-    return n + 1 + -percent * n // 100
+    """So many first columns of a row of n hold the first ``required(n)`` that it shares with whatever links to it."""
+    return n + -percent * n // 100 + required(n)
+
+
+def least_required(n, percent: int):
+    """As ``required``, of the smaller of n and what can link to it. A number or a column of them."""
+    return 1 + (percent * n + 99) // 100 // EXTRA if isinstance(n, int) else F.expr(f"1 + ({percent} * {n} + 99) div 100 div {EXTRA}")
 
 
 def frequent_words(docs: DataFrame) -> dict[bytes, int]:
@@ -146,6 +162,30 @@ def can_link(n: int, percent: int) -> bool:
     return 100 * n >= percent * (n + 1)
 
 
+def sharing(nodes: DataFrame, percent: int) -> DataFrame:
+    """column, node, n, df: the lead columns that rows share, of rows that share enough with all others. Stored."""
+    shared = store(nodes.select(F.explode("lead").alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"),
+                   "shared_columns")
+    known = nodes.sparkSession.sparkContext.broadcast(bitmap(shared, "column", MAP_BITS))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leads, keep = [], []
+            for n, lead in zip(batch.column("n").to_pylist(), batch.column("lead")):
+                own = lead.values.to_numpy()
+                own = own[on_map(known.value, own)]
+                keep.append(len(own) > 0 and len(own) >= least_required(n, percent))
+                leads.append(own if keep[-1] else [])
+            out = pa.record_batch([batch.column("node"), batch.column("n"), pa.array(leads, pa.list_(pa.int64()))], ["node", "n", "lead"])
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+    likely = store(nodes.select("node", "n", "lead").mapInArrow(make, "node long, n long, lead array<long>"), "likely")
+    live = store(likely.select("node", "n", F.explode("lead").alias("column")).join(shared, "column"), "likely_columns")
+    enough = live.groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.first("n").alias("n")).filter(
+        F.col("own") >= least_required("n", percent)).select("node")
+    return store(live.join(store(enough, "enough"), "node"), "live")
+
+
 def gathered(live: DataFrame, percent: int) -> DataFrame:
     """node, n, home, class, split, splits, block: the block of every row. ``live``: column, node, n, df."""
     homes = store(
@@ -174,21 +214,23 @@ def first_tiles(blocks: DataFrame) -> DataFrame:
     return own.union(beside).union(larger.join(there, "b", "left_semi").select("a", "b"))
 
 
-def other_tiles(live: DataFrame, blocks: DataFrame, done: DataFrame, reached: DataFrame) -> DataFrame:
-    """a, b: the other pairs of blocks that share a column in the leads and aren't connected yet."""
-    known = blocks.select("node", "block", "class").join(reached, "node", "left").select(
-        "node", "block", "class", F.coalesce("root", "node").alias("root"))
-    whole = known.groupBy("block", "class").agg(F.min("root").alias("low"), F.max("root").alias("high")).select(
+def other_tiles(live: DataFrame, blocks: DataFrame, done: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
+    """a, b: the other pairs of blocks that share enough columns in the leads and aren't connected yet."""
+    known = blocks.select("node", "block", "class", "n").join(reached, "node", "left").select(
+        "node", "block", "class", "n", F.coalesce("root", "node").alias("root"))
+    whole = known.groupBy("block", "class").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("n")).select(
         # A block that is not connected in itself has a name of its own.
-        "block", "class", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("block")).alias("part"))
+        "block", "class", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("block")).alias("part"),
+        least_required("n", percent).alias("need"))
     held = live.select("column", "node").join(blocks.select("node", "block"), "node").select("column", "block").distinct()
     held = store(held.join(store(whole, "parts"), "block"), "held")
     apart = store(held.groupBy("column").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("column"), "apart")
     held = store(held.join(apart, "column"), "held_apart")
-    other = held.select("column", *(F.col(c).alias(f"{c}_b") for c in ("block", "class", "part")))
+    other = held.select("column", *(F.col(c).alias(f"{c}_b") for c in ("block", "class", "part", "need")))
     pairs = held.join(other, "column").filter(
         (F.col("block") < F.col("block_b")) & (F.abs(F.col("class") - F.col("class_b")) <= 1) & (F.col("part") != F.col("part_b"))
-    ).select(F.col("block").alias("a"), F.col("block_b").alias("b")).distinct()
+    ).groupBy(F.col("block").alias("a"), F.col("block_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.first(F.least("need", "need_b")).alias("need")).filter("shared >= need").select("a", "b")
     done = done.union(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.join(done, ["a", "b"], "left_anti")
 
@@ -206,7 +248,15 @@ def sets_of(docs: DataFrame, blocks: DataFrame, names: DataFrame, size: int) ->
             yield out.filter(right)
 
     wanted = store(blocks.select("node", "block").join(names, "node"), "wanted")
-    texts = docs.select(F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
+    known = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "text_hash", MAP_BITS))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(on_map(known.value, batch.column("text_hash").to_numpy())))
+
+    # The map keeps most other texts out of the shuffle, the join the rest.
+    texts = docs.select(F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text")).mapInArrow(
+        likely, "text_hash long, text string")
     one = texts.join(wanted, "text_hash").groupBy("node", "block").agg(F.min("text").alias("text"))
     return store(one.mapInArrow(make, "block long, node long, grams binary"), "sets")
 
@@ -335,15 +385,13 @@ def linked_sets(docs: DataFrame, told: DataFrame, size: int, percent: int) -> Da
     nodes = store(told.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"),
                                            F.first("n").alias("n"), F.first("lead").alias("lead")), "nodes")
     names = nodes.select("node", F.coalesce("first", F.lit(NO_ID)).alias("first"))
-    entries = nodes.select("node", "n", F.explode("lead").alias("column"))
-    shared = store(entries.groupBy("column").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared_columns")
-    live = store(entries.join(shared, "column"), "live")
+    live = sharing(nodes, percent)
     blocks = gathered(live, percent)
     sets = sets_of(docs, blocks, nodes.select("node", "text_hash"), size)
     tiles = store(first_tiles(blocks), "first_tiles")
     links = multiplied(tiles, sets, percent, "first_links")
     reached = store(smallest_reachable(links, names), "reached")
-    more = store(other_tiles(live, blocks, tiles, reached.select("node", "root")), "other_tiles")
+    more = store(other_tiles(live, blocks, tiles, reached.select("node", "root"), percent), "other_tiles")
     others = multiplied(more, sets, percent, "other_links")
     if others.isEmpty():
         return reached

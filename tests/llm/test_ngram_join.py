@@ -13,7 +13,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terracelake.llm import ngram_join
-from terracelake.llm.ngram_join import Words, can_link, lead_length, similar_documents, tile_links
+from terracelake.llm.bitmaps import bitmap, on_map
+from terracelake.llm.ngram_join import Words, can_link, least_required, lead_length, required, similar_documents, tile_links
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -127,10 +128,19 @@ def test_rows_that_link_share_a_lead():
         a = sorted(union[:len(union) - source.randint(0, cut)])
         b = sorted(union[source.randint(0, cut):])
         if 100 * len(set(a) & set(b)) >= 90 * len(set(a) | set(b)):
-            assert set(a[:lead_length(len(a), 90)]) & set(b[:lead_length(len(b), 90)])
+            both = set(a[:lead_length(len(a), 90)]) & set(b[:lead_length(len(b), 90)])
+            assert len(both) >= min(required(len(a)), required(len(b))) >= max(least_required(len(a), 90), least_required(len(b), 90))
     assert can_link(9, 90) and not can_link(8, 90)
 
 
+def test_the_map_has_every_column(spark):
+    columns = [-(1 << 63), (1 << 63) - 1, 0, -1, 5, 131071, 131072, 40000, 32767, 32768]
+    known = bitmap(spark.createDataFrame([(c,) for c in columns], "column long"), "column", 1 << 17)
+    bits = np.flatnonzero(np.unpackbits(known, bitorder="little"))
+    assert set(bits.tolist()) == {c % (1 << 17) for c in columns}
+    assert on_map(known, np.array([*columns, 6], np.int64)).tolist() == [True] * len(columns) + [False]
+
+
 def test_common_passages_come_last():
     words = Words({b"often": 50, b"seen": 90, b"rare": 2})
     grams, rarest = words.grams("often seen often rare seen often seen often new", 3)
