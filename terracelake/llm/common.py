@@ -8,7 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracelake.session import scratch_path
+from terracelake.session import stored as store
+
+__all__ = ["prepare", "store", "table", "text_of"]
 
 ROOT = str(Path(__file__).parents[2])
 
@@ -26,18 +28,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once as Parquet in the shared folder and reads it back.
-
-    The rows survive lost executors, are never computed again, keep column pruning, and
-    give Spark true sizes to plan joins with.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(name: str = "text"):
     """The text, with null read as empty."""
     return F.coalesce(F.col(name), F.lit(""))
