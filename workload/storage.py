@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from terracelake import operators as op
 from terracelake import sinks, sources
 from terracelake.plans import convert, item_sales
-from terracelake.session import scratch_path
+from terracelake.session import scratch_path, stored
 from workload.registry import query, table
 
 EVENT_TYPES = ("CLICK", "VIEW", "PURCHASE", "SIGNUP", "ERROR")
@@ -107,6 +107,26 @@ def sink_partitioned(spark: SparkSession, d: str) -> DataFrame:
     return sources.read_parquet(spark, path).filter(op.is_one_of("event_type", ("click", "view")))
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_quantity, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day FROM lineitem
+    WHERE l_shipdate < TIMESTAMP '1997-01-01 00:00:00'""")
+def sink_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """A table by year is replaced; a second replacement fails at its last year, and the first one's rows stay."""
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.to_date("l_shipdate").alias("day"), F.year("l_shipdate").alias("year"))
+    path = scratch_path(spark, "silver/lines")
+    sinks.write_partitioned(lines, path, "year")
+    sinks.write_partitioned(lines.filter("year < 1997"), path, "year")
+    failing = lines.withColumn("l_quantity", F.expr("if(year > 1996, raise_error('spoiled'), l_quantity)"))
+    try:
+        sinks.write_partitioned(failing, path, "year")
+    except Exception as error:  # noqa: BLE001
+        if "spoiled" not in str(error):
+            raise
+    return sources.read_parquet(spark, path).select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.col("day").cast("string").alias("day"))
+
+
 # ---- conversions
 
 
@@ -218,6 +238,41 @@ def catalog_register(spark: SparkSession, d: str) -> DataFrame:
         for name, (key, columns) in REGISTERED.items()])
 
 
+@query("""
+    WITH days AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+    runs AS (
+      SELECT 1 AS run, count(DISTINCT CAST(day AS VARCHAR) || event_type) AS added FROM days WHERE day < DATE '2024-01-10'
+      UNION ALL
+      SELECT 2, count(DISTINCT CAST(day AS VARCHAR) || event_type) FROM days WHERE day >= DATE '2024-01-10'
+      UNION ALL
+      SELECT 3, 0)
+    SELECT run, added, event_type, count(*) AS rows, sum(event_id) AS ids
+    FROM runs, days WHERE run > 1 OR day < DATE '2024-01-10' GROUP BY run, added, event_type""")
+def catalog_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """A table by day and type is registered, gets more days, and is brought up to date twice: what each run adds and finds."""
+    days = table(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), "event_type")
+    early = F.col("day") < F.lit("2024-01-10").cast("date")
+    processed, database = scratch_path(spark, "silver"), f"lake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    found = []
+
+    def run(added: int) -> None:
+        counts = sources.read_table(spark, name).groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("event_id").cast("decimal(38,0)").alias("ids"))
+        found.append(stored(counts.select(
+            F.lit(len(found) + 1).alias("run"), F.lit(added).cast("long").alias("added"), "event_type", "rows", "ids"), "found"))
+
+    sinks.write_partitioned(days.filter(early), f"{processed}/days", "day", "event_type")
+    (name,) = sources.register_tables(spark, processed, database, "processed_")
+    run(spark.sql(f"SHOW PARTITIONS {name}").count())
+    sinks.write_partitioned(days.filter(~early), f"{processed}/days", "day", "event_type", keep_others=True)
+    for _ in range(2):
+        added = sources.add_new_partitions(spark, name)
+        spark.catalog.refreshTable(name)
+        run(added)
+    return op.union_all(found)
+
+
 @query("""
     SELECT o.o_orderkey, c.c_name, c.c_mktsegment
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
