@@ -46,8 +46,10 @@ REMEMBERED = 300_000
 MAP_BITS = 1 << 25
 # Chunks of text looked at together.
 TOGETHER = 1 << 19
-# Letters that stand for a word of no item, and for what is beyond the end of a text.
-UNKNOWN, END = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+# Windows embedded at a time.
+WINDOWS = 1024
+# Letters that stand for a word of no item, and for what is beyond the end of a text. Small numbers are read fastest.
+UNKNOWN, END = 1, 3
 
 EDGE = string.punctuation + "“”‘’«»…–—¿¡"
 
@@ -66,14 +68,16 @@ class Letters(dict):
 
     def __init__(self, known: np.ndarray):
         super().__init__()
-        self.known = known
+        self.known = known.tobytes()
+        self.mask = 8 * len(self.known) - 1
 
     def __missing__(self, chunk: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
         word = chunk.strip(EDGE).lower()
-        number = letter(word) if word else 0
-        if word and not on_map(self.known, np.array([number], np.uint64))[0]:
+        number = xxhash.xxh64_intdigest(word, 7) | 1 if word else 0
+        at = number & self.mask  # as ``on_map``, for one number
+        if word and not self.known[at >> 3] >> (at & 7) & 1:
             number = UNKNOWN
         if len(chunk) <= 64:
             self[chunk] = number
@@ -118,12 +122,14 @@ class Sieve:
             at = at + ((text[np.minimum(starts + at, last)] * by) >> np.uint64(63)).astype(np.int32)
         return out
 
-    def keys(self, text: np.ndarray, starts: np.ndarray, walks: np.ndarray, n: int) -> np.ndarray:
-        """One key for each repetition and start, of the letters at the sampled places of a window of n words."""
-        steps = (self.places * 2 * n).astype(int)
-        total = np.full(walks.shape[1:], n, np.uint64) * self.size
+    def keys(self, text: np.ndarray, starts: np.ndarray, walks: np.ndarray, n: int, of=slice(None)) -> np.ndarray:
+        """One key for each repetition and start, of the letters at the sampled places of a window of n words.
+
+        ``of``: which starts, if not all that have walks."""
+        steps, starts = (self.places * 2 * n).astype(int), starts[of]
+        total = np.full((REPETITIONS, len(starts)), n, np.uint64) * self.size
         for place, mix in zip(steps, self.mix):
-            at = walks[place, np.arange(REPETITIONS)]
+            at = walks[place, np.arange(REPETITIONS)][:, of]
             total += np.where(at < n, text[np.minimum(starts + at, len(text) - 1)], np.uint64(END)) * mix
         return total * self.own
 
@@ -144,36 +150,47 @@ class Sieve:
             found.append(at[on_map(runs, self.run_hashes(text, at, q))])
         return np.concatenate(found)
 
-    def likely(self, text: np.ndarray, seeds: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
-        """n, first and last word of a stretch, and its keys: stretches with windows of n words whose keys are on the map."""
-        size, widest = len(text), int(self.lengths[-1] + self.slack[-1])
+    def likely(self, parts: list[np.ndarray], seeds: list[np.ndarray], keys: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """Which text, first word and end of a stretch, and its keys: stretches with windows whose keys are on the map.
+
+        parts, seeds: the words of texts and the seeds in each. They are looked at as one text, far enough apart.
+        """
+        widest = int(self.lengths[-1] + self.slack[-1])
+        gap = np.full(widest, END, np.uint64)
+        text = np.concatenate([x for part in parts for x in (part, gap)])
+        first = np.cumsum([0, *(len(part) + widest for part in parts)])
+        seeds = np.concatenate([own + at for own, at in zip(seeds, first)])
         # A start lies at most a widest window before a seed, and never after it.
-        mark = np.zeros(size + 1, np.int64)
+        mark = np.zeros(len(text) + 1, np.int64)
         np.add.at(mark, np.maximum(0, seeds - widest), 1)
         np.add.at(mark, seeds + 1, -1)
-        starts = np.flatnonzero(np.cumsum(mark)[:size] > 0)
+        starts = np.flatnonzero((np.cumsum(mark)[:-1] > 0) & (text != END))
         known = np.concatenate(([0], np.cumsum(known_words(text))))
         wide = (self.lengths + self.slack)[:, None]
-        enough = known[np.minimum(starts + wide, size)] - known[starts] >= (self.lengths - self.slack)[:, None]
+        enough = known[np.minimum(starts + wide, len(text))] - known[starts] >= (self.lengths - self.slack)[:, None]
         alive = enough.any(axis=0)
         starts, enough = starts[alive], enough[:, alive]
-        whole = np.concatenate((text, np.full(widest, END, np.uint64)))
-        found: dict[int, list[np.ndarray]] = {}
-        for block in range(0, len(starts), 256):
-            own, good = starts[block:block + 256], enough[:, block:block + 256]
-            walks = self.walks(whole, own)
+        found = []
+        for block in range(0, len(starts), WINDOWS):
+            own, good = starts[block:block + WINDOWS], enough[:, block:block + WINDOWS]
+            walks = self.walks(text, own)
             for n, which in zip(self.lengths.tolist(), good):
                 at = np.flatnonzero(which)
                 if len(at):
-                    mine = self.keys(whole, own[at], walks[:, :, at], n)
+                    mine = self.keys(text, own, walks, n, at)
                     hit, start = np.nonzero(on_map(keys, mine))
-                    if len(hit):
-                        found.setdefault(n, []).append(np.stack([own[at[start]].astype(np.uint64), mine[hit, start]]))
-        for n, parts in found.items():
-            place, key = np.unique(np.concatenate(parts, axis=1), axis=1)
-            k = self.edits(n)
-            for i in np.split(np.arange(len(place)), np.flatnonzero(np.diff(place) > n + k) + 1):
-                yield n, max(0, int(place[i[0]]) - k), min(size, int(place[i[-1]]) + n + k), np.unique(key[i])
+                    found.append(np.stack([own[at[start]].astype(np.uint64), mine[hit, start]]))
+        if not found or not sum(x.shape[1] for x in found):
+            return
+        place, key = np.concatenate(found, axis=1)
+        order = np.lexsort((key, place))
+        place, key = place[order].astype(np.int64), key[order]
+        ends = np.append(np.flatnonzero(np.diff(place) > widest) + 1, len(place))
+        of = np.searchsorted(first, place[ends - 1], "right") - 1
+        slack = int(self.slack[-1])
+        for begin, end, part in zip([0, *ends[:-1].tolist()], ends.tolist(), of.tolist()):
+            a, b = (int(place[i] - first[part]) for i in (begin, end - 1))
+            yield part, max(0, a - slack), min(len(parts[part]), b + widest), np.unique(key[begin:end])
 
 
 def known_words(text: np.ndarray) -> np.ndarray:
@@ -226,7 +243,7 @@ def indexed(items: DataFrame, sieve: Sieve) -> DataFrame:
 
 
 def stretches(docs: DataFrame, sieve: Sieve, maps) -> DataFrame:
-    """row, doc_id, print, n, begin, words, keys of every stretch of text whose windows have a key that some item may have. Stored.
+    """row, doc_id, print, begin, words, keys of every stretch of text whose windows have a key that some item may have. Stored.
 
     Documents are read once and never shuffled. A text is handled whole, whatever its length.
     """
@@ -244,25 +261,27 @@ def stretches(docs: DataFrame, sieve: Sieve, maps) -> DataFrame:
                 ends.append(size)
             seeds = sieve.seeds(np.concatenate(parts), runs)
             where = np.searchsorted(ends, seeds, "right")
-            for i in np.unique(where).tolist():
-                text = parts[i][:-1]
-                for n, begin, end, own in sieve.likely(text, seeds[where == i] - (ends[i] - len(parts[i])), keys):
-                    yield at + i, n, begin, text[begin:end], own
+            seeded = np.unique(where).tolist()
+            texts_with = [parts[i][:-1] for i in seeded]
+            if seeded:
+                near = [seeds[where == i] - (ends[i] - len(parts[i])) for i in seeded]
+                for i, begin, end, own in sieve.likely(texts_with, near, keys):
+                    yield at + seeded[i], begin, texts_with[i][begin:end], own
             at += len(parts)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters(maps.value[0])
-        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for batch in batches:
             found = list(scan(batch.column("text").to_pylist(), letters))
-            columns = [[f[1] for f in found], [f[2] for f in found], *([f[i].view(np.int64) for f in found] for i in (3, 4))]
+            columns = [[f[1] for f in found], *([f[i].view(np.int64) for f in found] for i in (2, 3))]
             of = pa.array([f[0] for f in found], pa.int64())
             yield pa.record_batch([*(batch.column(c).take(of) for c in ("row", "doc_id", "print")), *map(pa.array, columns, kinds)],
-                                  ["row", "doc_id", "print", "n", "begin", "words", "keys"])
+                                  ["row", "doc_id", "print", "begin", "words", "keys"])
 
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                         F.xxhash64(text_of()).alias("print"), text_of().alias("text"))
-    return store(texts.mapInArrow(make, "row long, doc_id long, print long, n int, begin long, words array<long>, keys array<long>")
+    return store(texts.mapInArrow(make, "row long, doc_id long, print long, begin long, words array<long>, keys array<long>")
                  .withColumn("stretch", F.monotonically_increasing_id()), "stretches")
 
 
@@ -303,7 +322,7 @@ def held_items(docs: DataFrame, benchmark: DataFrame, similarity: float) -> Data
     near = stretches(docs, sieve, maps)
     keys = store(index.select(F.explode("keys").alias("key"), "item"), "item_keys")
     pairs = store(near.select("stretch", F.explode("keys").alias("key")).join(keys, "key").select("stretch", "item").distinct(), "item_pairs")
-    whole = pairs.join(near.drop("keys", "n"), "stretch").join(items.withColumnRenamed("words", "item_words"), "item")
+    whole = pairs.join(near.drop("keys"), "stretch").join(items.withColumnRenamed("words", "item_words"), "item")
     found = store(verified(whole, sieve), "found_items")
     best = F.min(F.struct("distance", "first_word", "last_word", "doc_id", "print", "item_id", "n")).alias("best")
     return found.groupBy("row", "item").agg(best).select("row", "item", "best.*")

@@ -275,8 +275,8 @@ def test_recall_at_the_greatest_distance():
         text = around[:60] + edited(source, words, sieve.edits(len(words))) + around[60:]
         own = np.array([read[w] for w in text], np.uint64)
         seeds = sieve.seeds(np.append(own, np.uint64(decontaminate.END)), runs)
-        for n, begin, end, hits in sieve.likely(own, seeds, keys) if len(seeds) else ():
-            if n == len(words) and set(hits.tolist()) & set(made[i][1].tolist()) and aligned(letters[i], own[begin:end])[0] <= sieve.edits(n):
+        for _, begin, end, hits in sieve.likely([own], [seeds], keys) if len(seeds) else ():
+            if set(hits.tolist()) & set(made[i][1].tolist()) and aligned(letters[i], own[begin:end])[0] <= sieve.edits(len(words)):
                 found += 1
                 break
     assert found >= 0.95 * len(items)
