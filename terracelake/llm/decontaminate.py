@@ -41,7 +41,7 @@ from terracelake.llm.common import prepare, store, text_of
 REPETITIONS = 16
 SAMPLED = 2
 # Chunks of text that one worker remembers; emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # Bits of each of the three maps that every task has, 4 MB. With more items than fit, more windows pass.
 MAP_BITS = 1 << 25
 # Chunks of text looked at together.

@@ -33,7 +33,7 @@ PREFIX = 5  # letters of a word that are a feature of their own
 SELECTED = 768  # features a head may use
 LEAST_G = 12.0  # G statistic from which a feature tells anything
 RIDGE = 0.1
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 PUNCTUATION = string.punctuation.encode()
 UPPER, LETTERS = string.ascii_uppercase.encode(), string.ascii_letters.encode()

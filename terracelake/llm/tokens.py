@@ -53,9 +53,10 @@ def packed(ids: list[int]) -> bytes:
 class Chunks(dict):
     """Chunk of text -> its packed ids. ``before`` stands before each chunk in the text."""
 
-    def __init__(self, tokenizer: Tokenizer, lower: bool, before: str):
+    def __init__(self, tokenizer: Tokenizer, lower: bool, before: str, chunks: int, words: int):
         super().__init__()
         self.tokenizer, self.lower, self.before = tokenizer, lower, before
+        self.most, self.most_words = chunks, words
         self.model = tokenizer.model
         self.words: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
@@ -67,7 +68,7 @@ class Chunks(dict):
         """Ids of letters only, which the library's splitting leaves in one piece."""
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= WORDS:
+            if len(self.words) >= self.most_words:
                 self.words.clear()
             letters = word.replace(" ", BYTE_LETTERS[32]) if word.isascii() else (
                 word.encode().decode("latin-1").translate(BYTE_LETTERS))
@@ -79,7 +80,7 @@ class Chunks(dict):
     def tail(self, tail: str) -> bytes:
         found = self.tails.get(tail)
         if found is None:
-            if len(self.tails) >= WORDS:
+            if len(self.tails) >= self.most_words:
                 self.tails = {"": b""}
             found = self.whole(tail)
             if len(tail) <= LONGEST:
@@ -94,7 +95,7 @@ class Chunks(dict):
         return ids if len(core) == len(chunk) else ids + self.tail(chunk[len(core):])
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CHUNKS:
+        if len(self) >= self.most:
             self.clear()
         found = self.parts(self.before, chunk)
         if len(chunk) <= LONGEST:
@@ -115,7 +116,8 @@ class WordIds:
     """For vocabularies that drop white space and case (``word_bpe_49k.json``)."""
 
     def __init__(self, path: str):
-        self.chunks = Chunks(Tokenizer.from_file(path), True, "")
+        # Without case and blanks there are fewer different chunks.
+        self.chunks = Chunks(Tokenizer.from_file(path), True, "", CHUNKS // 2, WORDS // 2)
 
     def __call__(self, text: str) -> bytes:
         if has_rare_space(text):
@@ -130,7 +132,7 @@ class ByteIds:
     """
 
     def __init__(self, path: str):
-        self.chunks = Chunks(Tokenizer.from_file(path), False, " ")
+        self.chunks = Chunks(Tokenizer.from_file(path), False, " ", CHUNKS, WORDS)
 
     def __call__(self, text: str) -> bytes:
         first, *others = text.split(" ")

@@ -62,9 +62,11 @@ def test_random_texts(word, byte, piece, text):
 
 
 def test_real_texts_with_small_memory(word, byte, piece, monkeypatch, spark):
-    from terracelake.llm import token_counts, tokens
-    for module, name in ((tokens, "CHUNKS"), (tokens, "WORDS"), (token_counts, "REMEMBERED")):
-        monkeypatch.setattr(module, name, 50)
+    from terracelake.llm import token_counts
+    monkeypatch.setattr(token_counts, "REMEMBERED", 50)
+    for own, _ in (word, byte):
+        monkeypatch.setattr(own.chunks, "most", 50)
+        monkeypatch.setattr(own.chunks, "most_words", 50)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text in texts[:60]:
         same_ids(word, text)
