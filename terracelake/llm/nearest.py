@@ -1,16 +1,16 @@
 """Exact nearest neighbours by a block matrix join over int8 tiles.
 
-Vectors are packed into blocks. Each is also kept as int8 numbers times a scale, with the norm
+Vectors are packed into blocks. A task also keeps each as int8 numbers times a scale, with the norm
 of what that loses. The product of two int8 blocks gives all distances of a tile to within
 a bound that follows from those norms (Cauchy-Schwarz), so a pair whose lower bound is over
-the k-th smallest upper bound can't be among the nearest. The few pairs that are left are
+the k-th smallest distance or upper bound can't be among the nearest. The few pairs that are left are
 recomputed from the original vectors in double precision.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import merge, nsmallest
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracelake.llm.common import prepare, store
+from terracelake.llm.tiles import Heaps, by_dimension, lists, lists_of_structs, smallest, structs, tiled
 
-BLOCK = "dim int, block long, n int, ids binary, vectors binary, small binary, norms binary"
+BLOCK = "dim int, block long, n int, ids binary, vectors binary"
 # Pairs recomputed at a time, in components.
 EXACT = 1 << 22
+# Up to here products and sums of bounds stay finite in single precision.
+LARGE = 1e18
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -45,98 +48,130 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """Blocks of up to ``rows`` vectors of the same dimension, stored."""
+    """Blocks of up to ``rows`` vectors of the same dimension, stored; in single precision if that holds them exactly."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, waiting = TaskContext.get().partitionId(), 0, {}
-
-        def block(dim: int, own: list) -> pa.RecordBatch:
-            ids = np.array([i for i, _ in own], np.int64)
-            x = np.stack([v for _, v in own])
-            small, norms = quantised(x)
-            values = [dim, (part << 32) + made, len(own), *(a.tobytes() for a in (ids, x, small, norms))]
-            kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
-            return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)],
-                                   ["dim", "block", "n", "ids", "vectors", "small", "norms"])
-        for batch in batches:
-            column = batch.column("vector")
-            flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
-            for i, a, b in zip(batch.column("id").to_pylist(), ends, ends[1:]):
-                own = waiting.setdefault(int(b - a), [])
-                own.append((i, flat[a:b].copy()))
-                if len(own) == rows:
-                    yield block(int(b - a), waiting.pop(int(b - a)))
-                    made += 1
-        for dim, own in waiting.items():
-            yield block(dim, own)
-            made += 1
+        part = TaskContext.get().partitionId()
+        columns = ((*lists(b.column("vector")), [b.column("id").to_numpy()]) for b in batches)
+        for made, (dim, (x, ids)) in enumerate(by_dimension(columns, rows)):
+            with np.errstate(over="ignore", under="ignore"):
+                short = x.astype(np.float32)
+            values = [dim, (part << 32) + made, len(ids), ids.tobytes(), (short if (short == x).all() else x).tobytes()]
+            kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 2]
+            yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], ["dim", "block", "n", "ids", "vectors"])
 
     return store(vectors.mapInArrow(pack, BLOCK), name)
 
 
-def tile_nearest(queries: dict, vectors: dict, k: int, best: list[list[tuple[float, int]]]) -> None:
-    """Adds what a tile has to the nearest found so far, one list of (distance, id) per query."""
-    def unpacked(b: dict):
+class Side(NamedTuple):
+    """A tile's vectors of a dimension. wide: their int8 numbers, and four columns more; norms: see ``quantised``."""
+
+    ids: np.ndarray
+    vectors: np.ndarray
+    wide: np.ndarray
+    norms: np.ndarray
+
+
+def rounding(dim: int) -> float:
+    """What single precision may cost a row of ``wide`` times another, at most, as a share of the squared norms."""
+    return 8 * (dim + 8) / 2 ** 24
+
+
+def widened(small: np.ndarray, norms: np.ndarray, asks: bool) -> np.ndarray:
+    """The int8 numbers with columns for the bound.
+
+    The lower bound of a squared distance is |q|^2 + |v|^2 - 2 qv - 2 (lost_q |v| + about_q lost_v), and qv is the product
+    times both scales. How far the product is over the smallest that a pair at most so distant can have is
+    then a product of four columns more. ``tile`` fills in the first of a query, which has that distance.
+    """
+    scale, norm, about, lost = norms
+    with np.errstate(all="ignore"):
+        if asks:
+            more = [np.zeros_like(scale), (rounding(small.shape[1]) - 1) / (2 * scale), lost / scale, about / scale]
+        else:
+            more = [1 / scale, norm ** 2 / scale, norm / scale, lost / scale]
+    columns = np.stack(more, axis=1)
+    return np.concatenate([small, columns], axis=1, dtype=np.float32 if np.abs(columns).max(initial=0) < LARGE else np.float64, casting="unsafe")
+
+
+def side(blocks: list[dict], asks: bool = False) -> Side:
+    parts = []
+    for b in blocks:
         n, dim = b["n"], b["dim"]
-        return (np.frombuffer(b["ids"], np.int64), np.frombuffer(b["vectors"]).reshape(n, dim),
-                np.frombuffer(b["small"], np.int8).reshape(n, dim).astype(np.float32), np.frombuffer(b["norms"]).reshape(4, n))
-
-    q_id, q, q_small, (q_scale, q_norm, q_about, q_lost) = unpacked(queries)
-    v_id, v, v_small, (v_scale, v_norm, v_about, v_lost) = unpacked(vectors)
-    # Whole numbers under 2**24 are exact in single precision: 1024 products of int8 numbers.
-    product = sum((q_small[:, a:a + 1024] @ v_small[:, a:a + 1024].T).astype(np.float64) for a in range(0, q.shape[1], 1024))
-    about = q_norm[:, None] ** 2 + v_norm ** 2 - 2 * product * q_scale[:, None] * v_scale
-    bound = 2 * (q_lost[:, None] * v_norm + q_about[:, None] * v_lost)
-    bound += 1e-9 * (q_norm[:, None] + v_norm) ** 2  # rounding of the bounds themselves
-    low, high = about - bound, about + bound
-    # Squares of components above about 1e154 overflow: such bounds say nothing.
-    low[~np.isfinite(low)], high[~np.isfinite(high)] = -np.inf, np.inf
-    own = q_id[:, None] == v_id
-    low[own] = high[own] = np.inf
-    limit = np.full(len(q), np.inf)
-    if len(v) > k:
+        x = np.frombuffer(b["vectors"], np.float32 if len(b["vectors"]) == 4 * n * dim else np.float64).reshape(n, dim)
+        small, norms = quantised(x.astype(np.float64))
+        parts.append((np.frombuffer(b["ids"], np.int64), x, widened(small, norms, asks), norms))
+    if len(parts) == 1:
+        return Side(*parts[0])
+    return Side(*(np.concatenate(c, axis=axis) for c, axis in zip(zip(*parts), (0, 0, 0, 1))))
+
+
+def tile(q: Side, v: Side, k: int, heaps: Heaps, room: np.ndarray | None = None) -> None:
+    """Adds what a tile has to the nearest found so far, a heap of (distance, id) per query. Single-precision
+    products go to ``room`` if they fit: asking the system for so much memory takes as long as half a product."""
+    (q_scale, q_norm, q_about, q_lost), (v_scale, v_norm, _, v_lost) = q.norms, v.norms
+    dim = q.vectors.shape[1]
+    with np.errstate(all="ignore"):  # squares of components above about 1e154 overflow: such bounds say nothing
+        most = heaps.values[:, -1] ** 2 * (1 + 1e-9)
+        unknown = np.flatnonzero(np.isinf(most))
         # Rows that share an id are one candidate, so only distinct ids make a k-th.
-        if len(np.unique(v_id)) == len(v_id):
-            limit = np.partition(high, k - 1, axis=1)[:, k - 1]
-    known = np.array([b[-1][0] * b[-1][0] * (1 + 1e-9) if len(b) == k else np.inf for b in best])
-    rows, columns = np.nonzero((low <= np.minimum(limit, known)[:, None]) & ~own)
-    step = max(1, EXACT // q.shape[1])
-    found: dict[int, dict[int, float]] = {}
+        if len(unknown) and len(v.ids) > k and len(np.unique(v.ids)) == len(v.ids):
+            product = (q.wide[unknown, :dim] @ v.wide[:, :dim].T).astype(np.float64)
+            high = q_norm[unknown, None] ** 2 + v_norm ** 2 - 2 * product * q_scale[unknown, None] * v_scale
+            high += 2 * (q_lost[unknown, None] * v_norm + q_about[unknown, None] * v_lost)
+            high += rounding(dim) * (q_norm[unknown, None] + v_norm) ** 2
+            high[~np.isfinite(high) | (q.ids[unknown, None] == v.ids)] = np.inf
+            most[unknown] = np.partition(high, k - 1, axis=1)[:, k - 1]
+        all_near = np.isinf(most)
+        most[all_near] = 0
+        share = rounding(dim)
+        column = (most * (1 + share) + 1e-290 - q_norm ** 2 * (1 - share)) / (2 * q_scale)
+        wide = q.wide if np.abs(column).max() < LARGE else q.wide.astype(np.float64)
+        wide[:, dim] = column
+        pairs, single = len(q.ids) * len(v.ids), wide.dtype == v.wide.dtype == np.float32
+        fits = room is not None and single and pairs <= len(room)
+        over = np.matmul(wide, v.wide.T, out=room[:pairs].reshape(len(q.ids), -1) if fits else None)
+    if over.dtype == np.float64:
+        over[~np.isfinite(over)] = np.inf
+    near = over >= 0
+    near[all_near] = True
+    rows, columns = np.divmod(np.nonzero(near.ravel())[0], len(v.ids))
+    other = q.ids[rows] != v.ids[columns]
+    rows, columns = rows[other], columns[other]
+    step = max(1, EXACT // dim)
     for at in range(0, len(rows), step):
         r, c = rows[at:at + step], columns[at:at + step]
-        exact = np.sqrt(((q[r] - v[c]) ** 2).sum(axis=1))
-        if len(over := np.flatnonzero(np.isinf(exact))):
-            apart = np.abs(q[r[over]] - v[c[over]])
-            most = apart.max(axis=1)
-            exact[over] = most * np.sqrt(((apart / most[:, None]) ** 2).sum(axis=1))
-        for i, vec_id, d in zip(r.tolist(), v_id[c].tolist(), exact.tolist()):
-            mine = found.setdefault(i, {})
-            if vec_id not in mine or d < mine[vec_id]:
-                mine[vec_id] = d
-    for i, mine in found.items():
-        best[i] = first_distinct(merge(best[i], nsmallest(k, ((d, vec_id) for vec_id, d in mine.items()))), k)
-
-
-def first_distinct(ordered, k: int) -> list[tuple[float, int]]:
-    """The first k of (distance, id) in order, each id once."""
-    out, seen = [], set()
-    for d, i in ordered:
-        if i not in seen:
-            seen.add(i)
-            out.append((d, i))
-            if len(out) == k:
-                break
-    return out
+        apart = q.vectors[r].astype(np.float64) - v.vectors[c]
+        with np.errstate(over="ignore"):
+            exact = np.sqrt((apart ** 2).sum(axis=1))
+        if len(large := np.flatnonzero(np.isinf(exact))):
+            apart = np.abs(apart[large])
+            longest = apart.max(axis=1)
+            exact[large] = longest * np.sqrt(((apart / longest[:, None]) ** 2).sum(axis=1))
+        heaps.add(r, exact, v.ids[c])
 
 
-FOUND = "query_id long, near array<struct<score: double, vec_id: bigint>>"
+def tile_nearest(queries: dict, vectors: dict, k: int, best: list[list[tuple[float, int]]]) -> None:
+    """The same for blocks with their int8 numbers and norms, and one list of (distance, id) per query."""
+    def unpacked(b: dict, asks: bool) -> Side:
+        n, dim = b["n"], b["dim"]
+        norms = np.frombuffer(b["norms"]).reshape(4, n)
+        return Side(np.frombuffer(b["ids"], np.int64), np.frombuffer(b["vectors"]).reshape(n, dim),
+                    widened(np.frombuffer(b["small"], np.int8).reshape(n, dim), norms, asks), norms)
+
+    heaps = Heaps(len(best), k, np.float64)
+    for i, own in enumerate(best):
+        if own:
+            heaps.add(np.full(len(own), i), np.array([d for d, _ in own]), np.array([j for _, j in own], np.int64))
+    heaps.settle()
+    tile(unpacked(queries, True), unpacked(vectors, False), k, heaps)
+    sizes, values, ids = heaps.entries()
+    found = list(zip(values.tolist(), ids.tolist()))
+    for i, (end, n) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist())):
+        best[i] = found[end - n:end]
 
 
-def _found(rows: list[tuple[int, list[tuple[float, int]]]]) -> pa.RecordBatch:
-    near = pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])
-    return pa.record_batch([pa.array([q for q, _ in rows], pa.int64()),
-                            pa.array([[{"score": d, "vec_id": i} for d, i in b] for _, b in rows], pa.list_(near))],
-                           ["query_id", "near"])
+FOUND = "query_id long, near array<struct<score: double, vec_id: bigint>>"
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 2048, query_block: int = 512) -> DataFrame:
@@ -145,47 +180,36 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 20
     Both tables have an id and an array of numbers, in this order. Candidates are all vectors but
     those with the query's own id; ties go to the smaller id.
 
-    Each pair of a query block and a vector block is a tile. Vector blocks are dealt into groups,
-    as many as there are shuffle partitions or blocks, and query blocks go to every group; within a task, tiles come
-    ordered by query block, so it holds the nearest of one query block at a time. The tasks' lists
-    are then merged per query.
+    Each pair of a query block and a vector block is a tile. Vector blocks are dealt into groups that a
+    task can hold, and query blocks go to every group; a task has the nearest of one query block at a time.
+    The tasks' lists are then merged per query.
 
     Rows with a null id, and vectors that are null, zero, or hold null or non-finite components,
     take no part. Vectors of different dimensions aren't compared. Rows that share an id are one
     vector, whose nearest row counts. A query with fewer candidates has fewer rows; an empty
     table gives none.
     """
-    spark = prepare(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     own = packed(usable(vectors), block, "vector_blocks")
     # Few queries lie in each input split; gathered, they fill their blocks.
     asked = packed(usable(queries).hint("rebalance"), query_block, "query_blocks")
-    groups = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), own.count()))
-    left = own.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    right = asked.select(
-        "dim", *(F.col(c).alias(f"q_{c}") for c in ("block", "n", "ids", "vectors", "small", "norms")),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("part"))
-
-    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, best = None, [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                query = {"dim": row["dim"]} | {c: row[f"q_{c}"] for c in ("n", "ids", "vectors", "small", "norms")}
-                if at != row["q_block"]:
-                    if ids:
-                        yield _found(list(zip(ids, best)))
-                    at, ids = row["q_block"], np.frombuffer(query["ids"], np.int64).tolist()
-                    best = [[] for _ in ids]
-                tile_nearest(query, row, k, best)
-        if ids:
-            yield _found(list(zip(ids, best)))
-
-    found = store(left.join(right, ["dim", "part"]).sortWithinPartitions("q_block").mapInArrow(tiles, FOUND), "tiles")
+
+    def answer(row: dict, sides: list[Side]) -> pa.RecordBatch:
+        q = side([row], asks=True)
+        heaps = Heaps(len(q.ids), k, np.float64)
+        room = np.empty(len(q.ids) * max(len(v.ids) for v in sides), np.float32)
+        for v in sides:
+            tile(q, v, k, heaps, room)
+        sizes, score, vec_id = heaps.entries()
+        return pa.record_batch([pa.array(q.ids), structs(sizes, score=score, vec_id=vec_id)], ["query_id", "near"])
+
+    found = tiled(own, asked, side, answer, FOUND, "tiles", block)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("lists").to_pylist()
-            yield _found([(q, first_distinct(merge(*([(n["score"], n["vec_id"]) for n in near] for near in own)), k))
-                          for q, own in zip(batch.column("query_id").to_pylist(), lists)])
+            row, score, vec_id, _ = smallest(*lists_of_structs(batch.column("lists")), k)
+            near = structs(np.bincount(row, minlength=batch.num_rows), score=score, vec_id=vec_id)
+            yield pa.record_batch([batch.column("query_id"), near], ["query_id", "near"])
 
     return (
         found.groupBy("query_id").agg(F.collect_list("near").alias("lists")).mapInArrow(merged, FOUND)
