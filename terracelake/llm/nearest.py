@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracelake.llm.common import prepare, store
-from terracelake.llm.tiles import Heaps, by_dimension, lists, lists_of_structs, smallest, structs, tiled
+from terracelake.llm.tiles import STORED, Heaps, by_dimension, lists, lists_of_structs, places, smallest, structs, tiled
 
 BLOCK = "dim int, block long, n int, ids binary, vectors binary"
 # Pairs recomputed at a time, in components.
@@ -60,7 +60,7 @@ def packed(vectors: DataFrame, rows: int, name: str) -> DataFrame:
             kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 2]
             yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], ["dim", "block", "n", "ids", "vectors"])
 
-    return store(vectors.mapInArrow(pack, BLOCK), name)
+    return store(vectors.mapInArrow(pack, BLOCK), name, **STORED)
 
 
 class Side(NamedTuple):
@@ -135,7 +135,7 @@ def tile(q: Side, v: Side, k: int, heaps: Heaps, room: np.ndarray | None = None)
         over[~np.isfinite(over)] = np.inf
     near = over >= 0
     near[all_near] = True
-    rows, columns = np.divmod(np.nonzero(near.ravel())[0], len(v.ids))
+    rows, columns = places(near)
     other = q.ids[rows] != v.ids[columns]
     rows, columns = rows[other], columns[other]
     step = max(1, EXACT // dim)
@@ -203,7 +203,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 20
         sizes, score, vec_id = heaps.entries()
         return pa.record_batch([pa.array(q.ids), structs(sizes, score=score, vec_id=vec_id)], ["query_id", "near"])
 
-    found = tiled(own, asked, side, answer, FOUND, "tiles", block)
+    found = tiled(own, asked, lambda blocks: [side(blocks)], answer, FOUND, "tiles", block)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

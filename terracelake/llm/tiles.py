@@ -19,6 +19,8 @@ from terracelake.llm.common import store
 
 # Components of the vectors that a task holds.
 HELD = 1 << 24
+# For tables of blocks: Spark's reader takes a row group at a time, and a row can have a megabyte.
+STORED = {"parquet.block.row.count.limit": "16"}
 
 
 def by_dimension(batches: Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]], size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -50,8 +52,8 @@ def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 def tiled(held: DataFrame, passing: DataFrame, hold: Callable, answer: Callable, schema: str, name: str, size: int) -> DataFrame:
     """Runs every passing block past every held one of its dimension, stored.
 
-    Both tables have the same columns: dim, block, n and what the functions need. ``hold`` makes a tile's
-    side of the dicts of held blocks, together ``size`` rows or more if there are as many; ``answer`` gets a
+    Both tables have the same columns: dim, block, n and what the functions need. ``hold`` makes
+    sides of tiles of the dicts of held blocks, together ``size`` rows or more if there are as many; ``answer`` gets a
     passing block and all sides of its dimension, and gives a record batch. Held blocks are dealt into groups of
     ``HELD`` components, at least two a core, and passing blocks go to every group.
     """
@@ -73,10 +75,10 @@ def tiled(held: DataFrame, passing: DataFrame, hold: Callable, answer: Callable,
                     own = waiting.setdefault(row["dim"], [])
                     own.append(row)
                     if sum(b["n"] for b in own) >= size:
-                        sides.setdefault(row["dim"], []).append(hold(waiting.pop(row["dim"])))
+                        sides.setdefault(row["dim"], []).extend(hold(waiting.pop(row["dim"])))
                     continue
                 for dim, own in waiting.items():
-                    sides.setdefault(dim, []).append(hold(own))
+                    sides.setdefault(dim, []).extend(hold(own))
                 waiting = {}
                 if row["dim"] in sides:
                     yield answer(row, sides[row["dim"]])
@@ -85,6 +87,15 @@ def tiled(held: DataFrame, passing: DataFrame, hold: Callable, answer: Callable,
     return store(dealt.mapInArrow(run, schema), name)
 
 
+def places(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of what is true, which is little: eight bytes are looked at together first."""
+    flat = near.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    at = np.concatenate([(words[:, None] * 8 + np.arange(8)).ravel(), np.arange(whole, len(flat))])
+    return np.divmod(at[np.nonzero(flat[at])[0]], near.shape[1])
+
+
 def smallest(slots: np.ndarray, values: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """slot, value, id, place: the first ``k`` of each slot by value, then id. An id that is repeated counts once, with its smallest value."""
     def starts(*columns: np.ndarray) -> np.ndarray:
@@ -109,13 +120,15 @@ class Heaps:
         self.k, self.sizes = k, np.zeros(n, np.int64)
         self.values, self.ids = np.full((n, k), none, kind), np.full((n, k), np.iinfo(np.int64).max)
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waits = 0
 
     def add(self, slots: np.ndarray, values: np.ndarray, ids: np.ndarray) -> None:
         last = self.values[slots, -1]
         near = (values < last) | (values == last) & (ids <= self.ids[slots, -1])
         if near.any():
             self.waiting.append((slots[near], values[near], ids[near]))
-            if sum(len(w[0]) for w in self.waiting) >= max(1024, self.values.size // 2):
+            self.waits += len(self.waiting[-1][0])
+            if self.waits >= max(1024, self.values.size // 2):
                 self.settle()
 
     def settle(self) -> None:
@@ -123,7 +136,7 @@ class Heaps:
         if not self.waiting:
             return
         slots, values, ids = (np.concatenate(c) for c in zip(*self.waiting))
-        self.waiting = []
+        self.waiting, self.waits = [], 0
         touched = np.unique(slots)
         row, place = np.divmod(np.flatnonzero(np.arange(self.k) < self.sizes[touched][:, None]), self.k)
         row = touched[row]

@@ -84,14 +84,14 @@ def _scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Computes ``df`` once, into Parquet in the shared folder.
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Computes ``df`` once, into Parquet in the shared folder, written with ``options``.
 
     Later steps read the same rows however often they run, also after executors are lost;
     they read only the columns they need, and Spark knows the true size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,10 +10,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql.readwriter import DataFrameWriter
 
+from tests.llm.test_hard_negatives import brute, vectors
 from tests.llm.test_search import brute_nearest, our_nearest, same_nearest
 from terracelake.llm import nearest as nearest_module
 from terracelake.llm import tiles
-from terracelake.llm.tiles import Heaps, by_dimension
+from terracelake.llm.hard_negatives import hard_negatives, scores
+from terracelake.llm.tiles import Heaps, by_dimension, places
 
 
 @settings(max_examples=80, deadline=None)
@@ -74,6 +76,36 @@ def test_nearest_in_groups_makes_no_rows_of_tiles(spark, plans, monkeypatch):
     assert "MapInArrow" in plans["tiles"] and "Join" not in plans["tiles"]
 
 
+def test_negatives_in_groups_make_no_rows_of_tiles(spark, plans, monkeypatch):
+    monkeypatch.setattr(tiles, "HELD", 200)
+    rows = vectors(5, 200, 9) + [(i, i % 3, [3e5 * (i - 208)] * 3) for i in range(200, 216)]
+    rows += [(i + 300, label, v) for i, label, v in rows[:60]]  # copies
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(5)
+    got = hard_negatives(table, table.filter("vec_id % 4 = 0"), block=16, anchor_block=8)
+    assert sorted(map(tuple, got.collect())) == brute(rows, [r for r in rows if r[0] % 4 == 0])
+    for name in ("positive_heaps", "negative_heaps"):
+        assert "MapInArrow" in plans[name] and "Join" not in plans[name]
+
+
+@pytest.mark.parametrize("most", [1, 50, 104, 105, 150, 211, 600, 1 << 18, 1 << 22, 1 << 23, 1 << 24, 1 << 27])
+@pytest.mark.parametrize("leaf", [4, 8, 32, 64])
+def test_scores_are_exact_in_every_type(most, leaf):
+    """All numbers as large as they can be, so sums are too; the types change within these sizes."""
+    source = np.random.default_rng(most)
+    a, b = (source.choice([-most, most], size) for size in ((64, 64), (64, 64)))
+    a[:32], b[:, :32] = most, most
+    got = scores(a, b, float(most) ** 2, leaf)
+    assert [int(x) for x in got.ravel()] == [int(x) for x in (a.astype(object) @ b.astype(object)).ravel()]
+    assert got.dtype == (np.float32 if most <= 50 else got.dtype)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 9), st.integers(1, 30), st.sampled_from([0.0, 0.01, 0.5, 1.0]), st.integers(0, 99))
+def test_places(m, n, share, seed):
+    near = np.random.default_rng(seed).random((m, n)) < share
+    assert [p.tolist() for p in places(near)] == [p.tolist() for p in np.nonzero(near)]
+
+
 @pytest.mark.parametrize("least, most", [(-162, -140), (-40, -30), (-5, 5), (-150, 150), (16, 22), (100, 153)])
 def test_bounds_hold_for_all_sizes(least, most):
     source = np.random.default_rng(most - least)
